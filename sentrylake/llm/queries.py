@@ -9,8 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, media, mixing, pieces, sharding
+from . import chat, licenses, media, mixing, pieces, sharding, toxicity
 from .common import map_texts, utf8_size
+from .labelled import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +57,17 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
+#: A document with at least this score counts as of class 1.
+THRESHOLD = 0.3
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_model(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs, ["doc_id"], model)
+    return scored.select("doc_id", held_out(F.col("doc_id"), *toxicity.HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "evidence")
+
+
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
 
@@ -111,6 +123,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_mixing": op2_mixing,
+    "op3_toxicity": op3_toxicity,
     "op4_media": op4_media,
     "op7_chat": op7_chat,
     "op9_sharding": op9_sharding,
