@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, media, mixing, pieces, sharding, toxicity
+from . import chat, licenses, media, mixing, pieces, quality, sharding, toxicity
 from .common import map_texts, utf8_size
 from .labelled import held_out
 
@@ -86,6 +86,13 @@ def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_texts(docs, ["doc_id"], make, "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, true_type string, corrected boolean")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_model(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score_texts(docs, ["doc_id"], model)
+    return scored.select("doc_id", held_out(F.col("doc_id"), *quality.HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     kinds = dict(turns.dtypes)
@@ -125,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_toxicity": op3_toxicity,
     "op4_media": op4_media,
+    "op5_quality": op5_quality,
     "op7_chat": op7_chat,
     "op9_sharding": op9_sharding,
     "op10_licenses": op10_licenses,
