@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, media, mixing, pieces, quality, sharding, toxicity
+from . import chat, licenses, media, mixing, ngram_join, pieces, quality, sharding, toxicity
 from .common import map_texts, utf8_size
 from .labelled import held_out
 
@@ -93,6 +93,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id"), *quality.HELD_OUT).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     kinds = dict(turns.dtypes)
@@ -133,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_media": op4_media,
     "op5_quality": op5_quality,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_chat": op7_chat,
     "op9_sharding": op9_sharding,
     "op10_licenses": op10_licenses,
