@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, licenses, media, mixing, ngram_join, pieces, quality, sharding, toxicity
+from . import ann, chat, licenses, media, mixing, ngram_join, pieces, quality, sharding, toxicity
 from .common import map_texts, utf8_size
 from .labelled import held_out
 
@@ -106,6 +106,10 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.expand_replies(turns.select("conv_id", "turn", "role", "text").unionByName(planted)))
 
 
+def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = docs.select("doc_id", (utf8_size(F.col("text")) + 1).alias("size"), F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"))
@@ -139,6 +143,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality": op5_quality,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_chat": op7_chat,
+    "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
     "op10_licenses": op10_licenses,
 }
