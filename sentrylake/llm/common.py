@@ -94,3 +94,19 @@ def map_texts(df: DataFrame, keep: list[str], make, schema: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*kept, *made], schema=arrow)
 
     return df.mapInArrow(run, out)
+
+
+def filter_texts(df: DataFrame, make, text: str = "text") -> DataFrame:
+    """The rows whose text ``make()`` accepts, in all their columns. ``make`` runs once per task."""
+    at = df.columns.index(text)
+
+    def run(batches):
+        import pyarrow as pa
+
+        accepts = make()
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                batch = whole.slice(start, 256)
+                yield batch.filter(pa.array([bool(accepts(v.as_py())) for v in batch.column(at)], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
