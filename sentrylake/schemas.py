@@ -6,25 +6,49 @@ by field. Scores are read as text, so that 7.5 and "7.5" come out alike and one
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql import types as T
+from pyspark.sql.types import StructType
+
+_SIMPLE = {"string": T.StringType, "int": T.IntegerType, "bigint": T.LongType, "double": T.DoubleType, "boolean": T.BooleanType, "timestamp": T.TimestampType, "date": T.DateType}
+
+
+def _split(text: str) -> list[str]:
+    """Cuts at commas outside angle brackets."""
+    out, depth, start = [], 0, 0
+    for i, c in enumerate(text):
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            out.append(text[start:i].strip())
+            start = i + 1
+    return [*out, text[start:].strip()]
+
+
+def _kind(text: str) -> T.DataType:
+    low = text.lower()
+    if low.startswith("array<"):
+        return T.ArrayType(_kind(text[6:-1].strip()))
+    if low.startswith("struct<"):
+        return StructType([T.StructField(n.strip(), _kind(k.strip())) for n, k in (f.split(":", 1) for f in _split(text[7:-1]))])
+    return _SIMPLE[low]()
 
 
 def ddl(*columns: str) -> StructType:
-    """Column names with types; a trailing ``!`` forbids nulls."""
+    """Column names with types; a trailing ``!`` forbids nulls. Needs no session, so that importing this doesn't."""
     fields = []
-    for line in ", ".join(columns).split(", "):
-        name, kind = line.split(" ", 1)
-        fields.append(StructField(name, StructType.fromDDL(f"x {kind.rstrip('!')}")["x"].dataType, not kind.endswith("!")))
+    for line in columns:
+        for part in _split(line):
+            name, kind = part.split(" ", 1)
+            fields.append(T.StructField(name, _kind(kind.rstrip("!").strip()), not kind.endswith("!")))
     return StructType(fields)
 
 
 # Feeds. The records of either envelope stay verbatim text.
-CVE_PAGE = StructType.fromDDL("resultsPerPage INT, startIndex INT, totalResults INT, format STRING, version STRING, timestamp STRING, vulnerabilities ARRAY<STRUCT<cve: STRING>>")
-KEV_CATALOG = StructType.fromDDL("title STRING, catalogVersion STRING, dateReleased STRING, count INT, vulnerabilities ARRAY<STRING>")
+CVE_PAGE = ddl("resultsPerPage INT, startIndex INT, totalResults INT, format STRING, version STRING, timestamp STRING, vulnerabilities ARRAY<STRUCT<cve: STRING>>")
+KEV_CATALOG = ddl("title STRING, catalogVersion STRING, dateReleased STRING, count INT, vulnerabilities ARRAY<STRING>")
 
 _METRIC = "ARRAY<STRUCT<source: STRING, type: STRING, cvssData: STRUCT<version: STRING, vectorString: STRING, baseScore: STRING, baseSeverity: STRING>>>"
 _MATCH = "STRUCT<vulnerable: BOOLEAN, criteria: STRING, matchCriteriaId: STRING, versionStartIncluding: STRING, versionStartExcluding: STRING, versionEndIncluding: STRING, versionEndExcluding: STRING>"
-CVE_RECORD = StructType.fromDDL(
+CVE_RECORD = ddl(
     f"descriptions ARRAY<STRUCT<lang: STRING, value: STRING>>, metrics STRUCT<cvssMetricV31: {_METRIC}, cvssMetricV30: {_METRIC}>, "
     "weaknesses ARRAY<STRUCT<source: STRING, type: STRING, description: ARRAY<STRUCT<lang: STRING, value: STRING>>>>, "
     f"configurations ARRAY<STRUCT<operator: STRING, negate: BOOLEAN, nodes: ARRAY<STRUCT<operator: STRING, negate: BOOLEAN, cpeMatch: ARRAY<{_MATCH}>>>>>"

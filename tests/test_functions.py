@@ -1,0 +1,57 @@
+from __future__ import annotations
+
+from datetime import UTC, datetime, timedelta, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from sentrylake.functions import clock, records
+from sentrylake.functions import keys as K
+
+
+def one(spark, column):
+    return spark.range(1).select(column).first()[0]
+
+
+@pytest.mark.parametrize("label, score, key", [("CRITICAL", 9.8, 1), (None, 7.5, 2), ("high", 2.0, 2), (None, 0.0, 5), (None, None, 6), ("UNKNOWN", 4.0, 3), (None, 9.0, 1), (None, 3.9, 4), ("odd", None, 6)])
+def test_severity_key(spark, label, score, key):
+    assert one(spark, K.severity_key(F.lit(label).cast("string"), F.lit(score).cast("double"))) == key
+
+
+@pytest.mark.parametrize("name, key, category", [("CWE-79", 79, "CWE"), ("NVD-CWE-noinfo", -1, "NVD-CWE-noinfo"), ("NVD-CWE-Other", -2, "NVD-CWE-Other"), ("garbage", None, "CWE"), ("CWE-99999999999", None, "CWE")])
+def test_cwe_key_and_category(spark, name, key, category):
+    assert one(spark, K.cwe_key(F.lit(name))) == key
+    assert one(spark, K.cwe_category(F.lit(name))) == category
+
+
+def test_vendor_product_key_is_blind_to_case_and_blanks(spark):
+    a, b, c = (one(spark, K.vendor_product_key(F.lit(v), F.lit(p))) for v, p in (("Microsoft", "Windows"), (" microsoft ", "windows"), ("Microsoft", "Office")))
+    assert a == b != c
+
+
+def test_date_key(spark):
+    assert one(spark, K.date_key(F.lit("2026-09-24 15:38:04").cast("timestamp"))) == 20260924
+    assert one(spark, K.date_key(F.lit(None).cast("timestamp"))) is None
+
+
+def test_feed_instants(spark):
+    shown = lambda t: one(spark, F.date_format(clock.feed_instant(F.lit(t)), "yyyy-MM-dd HH:mm:ss.SSS"))
+    assert shown("2026-09-24T15:38:04.713") == "2026-09-24 15:38:04.713"
+    assert shown("2026-09-24T15:38:04") == "2026-09-24 15:38:04.000"
+    assert shown("not-a-date") is None
+
+
+def test_instants_do_not_depend_on_zones(spark):
+    noon = datetime(2026, 1, 1, 12, tzinfo=UTC)
+    for moment in (noon, noon.replace(tzinfo=None), noon.astimezone(timezone(timedelta(hours=5)))):
+        assert one(spark, F.date_format(clock.instant(moment), "HH:mm")) == "12:00"
+    assert clock.parse_utc("2026-10-01T02:00:00+02:00") == clock.parse_utc("2026-10-01") == datetime(2026, 10, 1, tzinfo=UTC)
+    assert clock.parse_utc("2026-10-01T00:00:00Z") == datetime(2026, 10, 1, tzinfo=UTC)
+
+
+def test_cpe_parts_keep_escaped_colons(spark):
+    parts = records.cpe_parts(F.lit(r"cpe:2.3:a:foo\:bar:baz:*:*:*:*:*:*:*:*"))
+    assert one(spark, F.size(parts)) == 13
+    assert one(spark, records.cpe_part(parts, 4)) == "foo:bar"
+    assert one(spark, records.cpe_part(parts, 5)) == "baz"
+    assert one(spark, records.cpe_part(records.cpe_parts(F.lit("short")), 4)) is None
