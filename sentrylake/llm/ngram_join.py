@@ -3,11 +3,12 @@
 1. Each text becomes its set of word 5-grams (64-bit hashes). Texts of one set are one class, and from
    then on a class is one row, however many copies it has.
 2. Band and row counts are chosen for the target recall at the threshold; classes meet in the buckets
-   of their band hashes. Buckets that hold the same classes as another one are dropped.
-3. A bucket's classes are cut into blocks by hash, and every pair of blocks is a unit of work of
-   its own, so no task holds a large bucket. A unit gets its classes' full sets and verifies all pairs
-   exactly. A pair counts in the first band that it shares, so each link counts once. A unit returns
-   one row per class, with its links and one neighbour in its group, and never a row per pair.
+   of their band hashes. Classes that buckets chain together are one group, so that each class
+   travels once; very large groups are left as their buckets.
+3. A group's classes are cut into blocks by hash, and every pair of blocks is a unit of work of
+   its own, so no task holds a large group. A unit gets its classes' texts, which travel smaller than
+   their sets, and verifies all pairs exactly on the full sets. In buckets a pair counts in the first band that it shares, so each link counts once. A unit
+   returns one row per class, with its links and one neighbour, and never a row per pair.
 4. The groups are the connected components over these neighbours, found by alternating star
    operations on distributed edges.
 """
@@ -26,8 +27,10 @@ from .common import discard, free_name, map_texts, materialize
 
 #: Words of a shingle, least similarity, and the least chance that a pair of that similarity shares a band.
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-#: Hash functions at most, and classes of one block of a bucket.
-HASHES, BLOCK = 128, 512
+#: Hash functions at most, classes of one block of a group, and of a group that isn't left as buckets.
+HASHES, BLOCK, GROUP = 128, 512, 4096
+#: Rows of the broadcast table of hashes at most: 4 bytes each.
+FILTER = 1 << 20
 _WORD = re.compile(r"\w+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -100,30 +103,47 @@ def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text", doc_i
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """key, band, n, rep: the members of every bucket that holds two classes or more; one of those with equal members."""
+    """key, band, n, low, rep: the members of every bucket that holds two classes or more; ``low`` is its smallest."""
     spread = classes.select("rep", F.posexplode("bands").alias("band", "key"))
+    sizes = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("low")).where("n > 1")
+    return spread.join(sizes, "key")
+
+
+def gathered(members: DataFrame) -> DataFrame:
+    """key, band, n, rep: the groups whose pairs are verified.
+
+    Classes that meet in any bucket, directly or through others, are one group of band 0, and each class is in
+    one such group only. Groups beyond GROUP members, where chance meetings may have chained much
+    together, are left as their buckets, without those that hold the same classes as one of an earlier band.
+    """
+    chained = materialize(connected_components(members.select(F.col("rep").alias("a"), F.col("low").alias("b")).where("a <> b")), "chains")
+    sizes = chained.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    sized = chained.join(sizes, "component")
+    whole = sized.where(F.col("n") <= GROUP).select(F.col("component").alias("key"), F.lit(0).alias("band"), "n", F.col("node").alias("rep"))
+    large = members.join(sized.where(F.col("n") > GROUP).select(F.col("node").alias("rep")), "rep", "left_semi")
     marks = [F.bit_xor(F.xxhash64(F.lit(k), F.col("rep"))).alias(f"mark{k}") for k in (1, 2)]
-    sizes = spread.groupBy("key", "band").agg(F.count(F.lit(1)).alias("n"), *marks).where("n > 1")
-    kept = sizes.groupBy("n", "mark1", "mark2").agg(F.min(F.struct("band", "key")).alias("b")).select("n", F.col("b.key").alias("key"), F.col("b.band").alias("band"))
-    return spread.join(kept, ["key", "band"])
+    alike = large.groupBy("key", "band", "n").agg(*marks).groupBy("n", "mark1", "mark2").agg(F.min(F.struct("band", "key")).alias("b"))
+    parts = large.select("key", "band", "n", "rep").join(alike.select(F.col("b.key").alias("key")), "key", "left_semi")
+    return whole.unionByName(parts.select("key", "band", "n", "rep"))
 
 
 def units(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Deals a bucket's members to its pairs of blocks: key, band, i, j (i <= j), side, rep. One unit up to ``block`` members."""
+    """Deals a group's members to its pairs of blocks: key, band, i, j (i <= j), side, rep. One unit up to ``block`` members."""
     n_blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64(F.lit(3), F.col("rep")), n_blocks).cast("int")
     m = members.withColumn("blocks", n_blocks).withColumn("mine", mine)
     m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return m.select("key", "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "rep")
+    return m.select("key", "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "rep", "copies", "bands")
 
 
-def verify_unit(band: int, apart: bool, rep: np.ndarray, side: np.ndarray, copies: np.ndarray, keys: np.ndarray, sets: list[np.ndarray], threshold: float = THRESHOLD) -> Iterable[tuple[int, int, int]]:
+def verify_unit(band: int, apart: bool, rep: np.ndarray, side: np.ndarray, copies: np.ndarray, keys: list[list[int] | None], sets: list[np.ndarray], threshold: float = THRESHOLD) -> Iterable[tuple[int, int, int]]:
     """(rep, neighbour, links) of each class with a link in the unit: the copies of all classes that it is linked to
-    first in this band, and the smallest class that these links reach. ``apart``: only pairs across the two sides count."""
+    first in this band, and the smallest class that these links reach. ``apart``: only pairs across the two sides count.
+    keys: the hashes of the earlier bands, of which no pair that counts has one in common."""
     n = len(rep)
     earlier = np.zeros((n, n), bool)
     for b in range(band):
-        column = keys[:, b]
+        column = np.array([k[b] for k in keys])
         earlier |= column[:, None] == column[None]
     wanted = ~earlier
     wanted &= np.triu(np.ones((n, n), bool), 1)
@@ -173,7 +193,7 @@ def verify_unit(band: int, apart: bool, rep: np.ndarray, side: np.ndarray, copie
 
 
 def _verified(dealt: DataFrame) -> DataFrame:
-    """rep, neighbour, links over all units. Rows of a unit stand together in one partition."""
+    """rep, neighbour, links over all units. Rows of a unit stand together in one partition, those of one class side by side."""
     import pyarrow as pa
 
     schema = pa.schema([("rep", pa.int64()), ("neighbour", pa.int64()), ("links", pa.int64())])
@@ -184,17 +204,18 @@ def _verified(dealt: DataFrame) -> DataFrame:
         def done():
             if len(rows) > 1:
                 reps, side, copies, keys, sets = zip(*rows)
-                found = verify_unit(unit[1], unit[2] != unit[3], np.array(reps), np.array(side), np.array(copies), np.array(keys), [np.frombuffer(s, np.uint64) for s in sets])
+                found = verify_unit(unit[1], unit[2] != unit[3], np.array(reps), np.array(side), np.array(copies), keys, sets)
                 out.extend(found)
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("key", "band", "i", "j", "rep", "side", "copies", "bands", "shingles")]
+            columns = [batch.column(c) for c in ("key", "band", "i", "j", "rep", "side", "copies", "bands", "text")]
             for at in range(batch.num_rows):
                 v = [c[at].as_py() for c in columns]
                 if tuple(v[:4]) != unit:
                     done()
                     unit, rows = tuple(v[:4]), []
-                rows.append(v[4:])
+                if not rows or rows[-1][0] != v[4]:  # repeated rows of a class's first document count once
+                    rows.append((*v[4:8], shingle_set(v[8])))
             if len(out) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
                 out.clear()
@@ -259,16 +280,15 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rec
     firsts = known.select(F.col("doc_id").alias("rep"), "bands").join(classes.select("rep", "copies"), "rep").where(F.col("bands").isNotNull())
     firsts = materialize(firsts.dropDuplicates(["rep"]), "representatives")
 
-    members = materialize(buckets(firsts), "buckets")
-    wanted = members.select("rep").distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).join(wanted, "rep", "left_semi").dropDuplicates(["rep"])
-
-    def make():
-        return lambda t: (shingle_set(t).tobytes(),)
-
-    sets = map_texts(texts, ["rep"], make, "shingles binary")
-    sets = sets.join(firsts, "rep")
-    dealt = units(members).join(sets, "rep").repartition("key", "i", "j").sortWithinPartitions("key", "band", "i", "j", "rep")
+    met = materialize(buckets(firsts), "buckets")
+    members = materialize(gathered(met), "groups")
+    discard(met)
+    dealt = units(members.join(firsts, "rep").select("key", F.when(F.col("band") > 0, F.slice("bands", F.lit(1), F.col("band"))).alias("bands"), "band", "n", "copies", "rep"))
+    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).where(F.col("rep").isNotNull())
+    # Most texts are in no group; a table of hashes that can't outgrow FILTER rows keeps them out of the exchange.
+    slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER)).cast("int").alias("slot")
+    texts = texts.select("*", slot).join(F.broadcast(members.select(slot).distinct()), "slot", "left_semi").drop("slot")
+    dealt = dealt.join(texts, "rep").repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "rep")
     verified = materialize(_verified(dealt), "links")
     discard(members)
 
