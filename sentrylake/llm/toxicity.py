@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples.
 
-Labelled examples are vectors of TF-IDF weights over words and word beginnings; those terms stay that
-tell the classes apart on the sample (chi-squared). They lie in an inverted index cut into blocks of
+Labelled examples are vectors of TF-IDF weights over words, word beginnings and repeated beginnings; those
+terms stay that tell the classes apart on the sample (chi-squared and odds ratio). They lie in an inverted index cut into blocks of
 examples. For each block and term the index holds the largest weight, so a query's terms give an upper
 bound of the cosine to any example of a block. Blocks are scored in descending order of bound until the
 bound falls below the k-th best cosine so far: the neighbours are exactly those of a full scan.
@@ -46,13 +46,23 @@ def terms_of(word: str) -> tuple[str, ...]:
     return tuple(out)
 
 
+def with_repeats(counts: Counter) -> Counter:
+    """Adds a term for each beginning that occurs twice or more, and one for four times or more: chance seldom repeats itself."""
+    for t, n in list(counts.items()):
+        if t[-1] == "*":
+            for times in (2, 4):
+                if n >= times:
+                    counts[f"{t}{times}"] = 1
+    return counts
+
+
 def term_counts(text: str | None) -> Counter:
     """Terms of the whole text; none for null and empty texts."""
     found: Counter = Counter()
     for word, n in Counter(_WORD.findall((text or "").lower())).items():
         for t in terms_of(word):
             found[t] += n
-    return found
+    return with_repeats(found)
 
 
 def chi_squared(with_pos: float, with_neg: float, pos: float, neg: float) -> float:
@@ -195,22 +205,17 @@ class ToxicityModel:
         return float((power @ self.labels[near] + prior * self.base) / (power.sum() + prior)), near, cosine
 
     def scorer(self):
-        """text -> (score, neighbours); remembers which words hold kept terms, within a bound."""
-        remembered: dict[str, tuple[int, ...]] = {}
+        """text -> (score, neighbours)."""
+        # Most words hold no kept term, and their first four letters show that at once.
+        starts = {t.partition("*")[0][:4] for t in self.terms}
         blank = self.calibrated(self.votes(np.zeros(0, np.int64), np.zeros(0))[0])
 
         def score(text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
-            counts: Counter = Counter()
+            held: Counter = Counter()
             for word in _WORD.findall((text or "").lower()):
-                ids = remembered.get(word)
-                if ids is None:
-                    ids = tuple(self.terms[t] for t in terms_of(word) if t in self.terms)
-                    if len(remembered) >= 300_000:
-                        remembered.clear()
-                    if len(word) <= 40:
-                        remembered[word] = ids
-                for i in ids:
-                    counts[i] += 1
+                if word[:4] in starts:
+                    held.update(terms_of(word))
+            counts = {self.terms[t]: n for t, n in with_repeats(held).items() if t in self.terms} if held else {}
             if not counts:
                 return blank, []
             share, near, cosine = self.votes(*self.vector(counts))
