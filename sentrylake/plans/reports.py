@@ -112,3 +112,12 @@ def rows_by_layer(log: DataFrame) -> DataFrame:
     """layer, writes, failed, rows_inserted, rows_updated, rows_quarantined, last_finished."""
     sums = [_total(c).alias(c) for c in ("rows_inserted", "rows_updated", "rows_quarantined")]
     return log.groupBy("layer").agg(_rows().alias("writes"), F.count_if(F.col("status") == "FAILURE").alias("failed"), *sums, F.max("finished_at").alias("last_finished")).orderBy("layer")
+
+
+def operations(log: DataFrame, marks: DataFrame, rejected: DataFrame) -> DataFrame:
+    """One row on the pipeline's health: runs, failed_runs, last_finished, last_watermark, quarantined."""
+    runs = log.agg(F.count_distinct("batch_id").alias("runs"), F.count_distinct(F.when(F.col("status") == "FAILURE", F.col("batch_id"))).alias("failed_runs"), F.max("finished_at").alias("last_finished"))
+    mark = marks.agg(F.max("watermark_ts").alias("last_watermark"))
+    held = rejected.agg(_rows().alias("quarantined"))
+    one = F.lit(1).alias("one")
+    return runs.select("*", one).join(mark.select("*", one), "one").join(held.select("*", one), "one").drop("one")
