@@ -23,7 +23,7 @@ import ahocorasick
 
 MARK = "▁"
 #: Segments kept in memory at most with their ids, and the longest of these.
-CACHED, CACHED_CHARS = 400_000, 48
+CACHED, CACHED_CHARS = 250_000, 48
 
 
 class PieceCodec:
