@@ -1,8 +1,8 @@
 """License scans by ordered signature rules.
 
-Rules are regular expressions over a text's lower-cased words (joined by single blanks), each gated by a
-keyword: one Aho-Corasick pass over the text gives the keywords that occur, and only rules with one of
-them run. Overlapping detections are settled by priority: in order of priority, then length, then
+Rules are regular expressions over a text's lower-cased words (joined by single blanks), each gated by
+keywords, one for each of its alternatives: one Aho-Corasick pass over the text gives the keywords that
+occur, and only rules with one of them run. Overlapping detections are settled by priority: in order of priority, then length, then
 place, a detection stands unless a standing one contains its words; what lies inside a standing
 detection is suppressed. Base rules are never suppressed.
 """
@@ -19,7 +19,7 @@ import numpy as np
 class Rule(NamedTuple):
     label: str
     priority: int
-    keyword: str
+    keywords: tuple[str, ...]  # every match holds one of them
     pattern: re.Pattern
     base: bool = False
 
@@ -35,7 +35,7 @@ class Hit(NamedTuple):
 #: The phrases that always count, with their labels.
 BASE_PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-# label | priority | keyword | expression over lower-cased words. Full texts come before notices, notices before
+# label | priority | keyword | expression over lower-cased words. Alternatives without the keyword get one of their own words (gates). Full texts come before notices, notices before
 # tags and tags before bare names; a higher priority wins.
 _RULES = r"""
 spdx-tag                | 90 | spdx        | spdx license identifier [0-9a-z]+(?: [0-9]+)*
@@ -213,14 +213,46 @@ def _creative_commons() -> list[str]:
     return out
 
 
+#: Words that many texts hold; they gate an alternative only where it has no other.
+_FREQUENT = {"license", "agreement", "public", "open", "source", "software", "what", "the", "you", "want"}
+
+
+def _alternatives(pattern: str) -> list[str]:
+    """The parts between the bars outside of all brackets."""
+    out, depth = [""], 0
+    for c in pattern:
+        depth += (c == "(") - (c == ")")
+        if c == "|" and not depth:
+            out.append("")
+        else:
+            out[-1] += c
+    return out
+
+
+def gates(pattern: str, keyword: str) -> tuple[str, ...]:
+    """A keyword for each alternative of the pattern: the given one where each match holds it, else one of the words that each match holds."""
+    out = []
+    for part in _alternatives(re.sub(r"\\.\??", "\0", pattern)):
+        sure = part
+        while "(" in sure:
+            sure = re.sub(r"\([^()]*\)\??", "\0", sure)
+        sure = re.sub(r"\[[^]]*\]|\{[^}]*\}|.\?", "\0", sure)
+        words = re.findall("[0-9a-z]+", sure)
+        if any(keyword in w for w in words):
+            out.append(keyword)
+        else:
+            out.append(min(words, key=lambda w: (w in _FREQUENT, -len(w), w)))
+    return tuple(dict.fromkeys(out))
+
+
 def rules() -> list[Rule]:
     """All rules in order of priority."""
     lines = [x for x in _RULES.splitlines() if x.strip()]
     lines += _versions("gpl", 60, "general", "gnu general public license", "1 2 3") + _versions("lgpl", 62, "general", "gnu (?:lesser|library) general public license", "2 2.1 3") + _versions("agpl", 62, "affero", "gnu affero general public license", "1 3") + _versions("mpl", 60, "mozilla", "mozilla public license", "1.0 1.1 2.0") + _versions("epl", 60, "eclipse", "eclipse public license", "1.0 2.0") + _versions("cddl", 60, "common", "common development and distribution license", "1.0 1.1") + _versions("osl-v", 60, "open", "open software license", "1.0 2.0 2.1 3.0") + _versions("afl-v", 60, "academic", "academic free license", "1.1 1.2 2.0 2.1 3.0") + _creative_commons()
-    out = [Rule(label, 100, phrase.split()[0], re.compile(rf"\b{phrase}\b"), True) for phrase, label in BASE_PHRASES]
+    out = [Rule(label, 100, (phrase.split()[0],), re.compile(rf"\b{phrase}\b"), True) for phrase, label in BASE_PHRASES]
     for line in lines:
         label, priority, keyword, pattern = (x.strip() for x in line.split("|", 3))
-        out.append(Rule(label, int(priority), keyword, re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])")))
+        out.append(Rule(label, int(priority), gates(pattern, keyword), re.compile(rf"(?<![^ ])(?:{pattern})(?![^ ])")))
     return sorted(out, key=lambda r: -r.priority)
 
 
@@ -234,7 +266,8 @@ class LicenseScanner:
         self.rules = known if known is not None else rules()
         by: dict[str, list[int]] = {}
         for k, r in enumerate(self.rules):
-            by.setdefault(r.keyword, []).append(k)
+            for word in r.keywords:
+                by.setdefault(word, []).append(k)
         self.keywords = ahocorasick.Automaton()
         for word, ks in by.items():
             self.keywords.add_word(word, tuple(ks))
