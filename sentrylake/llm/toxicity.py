@@ -1,42 +1,49 @@
 """Toxicity by the nearest labelled examples.
 
-Labelled examples are vectors of TF-IDF weights over words, word beginnings and repeated beginnings; those
-terms stay that tell the classes apart on the sample (chi-squared and odds ratio). They lie in an inverted index cut into blocks of
-examples. For each block and term the index holds the largest weight, so a query's terms give an upper
+Labelled examples are vectors of TF-IDF weights over all their words, word beginnings and repeated beginnings; document
+frequencies are those of all documents, and norms are taken over whole texts. The examples lie in an inverted index cut into
+blocks. For each block and term the index holds the largest weight, so a query's terms give an upper
 bound of the cosine to any example of a block. Blocks are scored in descending order of bound until the
 bound falls below the k-th best cosine so far: the neighbours are exactly those of a full scan.
 
-Neighbours vote with the fourth power of their cosine, beside one fixed vote of the base rate's. The share of votes
-is calibrated by isotonic regression on the examples themselves, each scored without itself.
+Neighbours vote with the fourth power of their cosine, beside a vote of the base rate's in proportion to the largest. The share
+of votes is calibrated by isotonic regression on the examples themselves, each scored without itself.
+
+The share doesn't change with the length of the query's vector. So the score needs the frequencies of the examples' terms only,
+and what a text's other terms add to its norm is joined to the rows afterwards, for the cosines that are shown.
 """
 
 from __future__ import annotations
 
-import math
 import re
+import uuid
 from collections import Counter
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, materialize
+from .common import free_name, map_texts, materialize
 from .labelled import class_counts, copy_bands, sample_labels, with_texts, without_copies
 
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
 HELD_OUT = (4, 2)
-#: Labelled rows of each class at most; terms kept at most; examples in a block; neighbours.
-EXAMPLES, TERMS, BLOCK, NEIGHBOURS = 3000, 4096, 64, 15
-#: Chi-squared (one degree of freedom) and examples that a term needs; tens of thousands of terms are tried.
-CHI2, MIN_EXAMPLES = 20.0, 4
-#: The odds ratio that a term needs, either way. Frequent words reach significance by small shifts that tell nothing.
-ODDS = 3.0
+#: Labelled rows of each class at most; examples in a block; neighbours.
+EXAMPLES, BLOCK, NEIGHBOURS = 3000, 64, 15
+#: Terms of the most examples, whose weights lie in dense blocks; the others lie in postings.
+DENSE = 1024
+#: Terms in more than one of so many documents go to each task; there are as many times this as a document has terms, at most.
+SHARED_BY = 1000
+#: Terms that a task counts before it hands its counts on.
+COUNTED_AT_ONCE = 300_000
 #: The weight of the base rate's vote, as of neighbours with a cosine of 1.
 PRIOR_VOTE = 0.5
 _WORD = re.compile(r"\w+")
 
 
+@lru_cache(1 << 17)
 def terms_of(word: str) -> tuple[str, ...]:
     """A lower-cased word, and its first four and five letters where it is longer."""
     out = [word]
@@ -46,43 +53,44 @@ def terms_of(word: str) -> tuple[str, ...]:
     return tuple(out)
 
 
-def with_repeats(counts: Counter) -> Counter:
-    """Adds a term for each beginning that occurs twice or more, and one for four times or more: chance seldom repeats itself."""
-    for t, n in list(counts.items()):
-        if t[-1] == "*":
-            for times in (2, 4):
-                if n >= times:
-                    counts[f"{t}{times}"] = 1
-    return counts
-
+def term_counts(text: str | None) -> dict[str, int]:
+    """Terms of the whole text; none for null and empty texts.
 
-def term_counts(text: str | None) -> Counter:
-    """Terms of the whole text; none for null and empty texts."""
-    found: Counter = Counter()
+    A term is added for each beginning that occurs twice or more, and one for four times or more: chance seldom repeats itself.
+    """
+    found: dict[str, int] = {}
     for word, n in Counter(_WORD.findall((text or "").lower())).items():
         for t in terms_of(word):
-            found[t] += n
-    return with_repeats(found)
+            found[t] = found.get(t, 0) + n
+    often = [(t, n) for t, n in found.items() if n >= 2 and t[-1] == "*"]
+    for t, n in often:
+        found[t + "2"] = 1
+        if n >= 4:
+            found[t + "4"] = 1
+    return found
+
 
+def inverse_frequency(n_docs: int, df: np.ndarray) -> np.ndarray:
+    return np.log((1 + n_docs) / (1 + df)) + 1
 
-def chi_squared(with_pos: float, with_neg: float, pos: float, neg: float) -> float:
-    """Of the table of a term's presence by class."""
-    n, have = pos + neg, with_pos + with_neg
-    low = pos * neg * have * (n - have)
-    return n * (with_pos * neg - with_neg * pos) ** 2 / low if low else 0.0
 
+def document_frequencies(docs: DataFrame) -> DataFrame:
+    """term, df: in how many of all documents each term occurs. Tasks count before the exchange."""
 
-def odds_ratio(with_pos: float, with_neg: float, pos: float, neg: float) -> float:
-    """How far a term's presence shifts the odds of the classes, upwards or downwards; half a row is added to each cell."""
-    odds = (with_pos + 0.5) * (neg - with_neg + 0.5) / ((with_neg + 0.5) * (pos - with_pos + 0.5))
-    return max(odds, 1 / odds)
+    def run(batches):
+        import pyarrow as pa
 
+        held: Counter = Counter()
+        make = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["term", "df"])
+        for batch in batches:
+            for text in batch.column(0):
+                held.update(term_counts(text.as_py()).keys())
+                if len(held) >= COUNTED_AT_ONCE:
+                    yield make()
+                    held.clear()
+        yield make()
 
-def choose_terms(frequency: list[tuple[str, int, int]], pos: int, neg: int) -> dict[str, float]:
-    """The kept terms with their inverse document frequency; frequency: (term, positives with it, negatives with it)."""
-    scored = [(chi_squared(p, n, pos, neg), t, p + n) for t, p, n in frequency if p + n >= MIN_EXAMPLES and odds_ratio(p, n, pos, neg) >= ODDS]
-    kept = sorted(((-c, t, df) for c, t, df in scored if c >= CHI2))[:TERMS]
-    return {t: math.log((1 + pos + neg) / (1 + df)) + 1 for _, t, df in kept}
+    return docs.select("text").mapInArrow(run, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 
 @dataclass
@@ -90,58 +98,81 @@ class BlockMaxIndex:
     """Inverted index of unit vectors in blocks; ``search`` is exact."""
 
     n: int
-    n_terms: int
-    bound: np.ndarray  # terms x blocks: the largest weight
-    starts: np.ndarray  # of each block and term in the postings
-    example: np.ndarray  # postings: place in the block
-    weight: np.ndarray
     order: np.ndarray  # the caller's number of each example
+    row: np.ndarray  # of each term in the dense blocks, or -1
+    dense: np.ndarray  # blocks x dense terms x places: weights
+    bound: np.ndarray  # dense terms x blocks: the largest weight
+    starts: np.ndarray  # of each other term in the postings
+    example: np.ndarray  # postings: place in the order
+    weight: np.ndarray
+    begins: np.ndarray  # of each example, in the order, in terms and weights
+    terms: np.ndarray
+    weights: np.ndarray
 
     @classmethod
     def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> BlockMaxIndex:
-        # Examples whose heaviest term is the same stand together, which keeps the blocks' bounds tight.
-        lead = [(int(t[np.argmax(w)]) if len(t) else n_terms, i) for i, (t, w) in enumerate(vectors)]
+        n, sizes = len(vectors), np.array([len(t) for t, _ in vectors], np.int64)
+        terms = np.concatenate([t for t, _ in vectors]).astype(np.int32) if n else np.zeros(0, np.int32)
+        df = np.bincount(terms, minlength=n_terms)
+        often = np.argsort(-df, kind="stable")[:DENSE]
+        row = np.full(max(n_terms, 1), -1, np.int32)
+        row[often] = np.arange(len(often))
+        # Examples whose heaviest dense term is the same stand together, which keeps the blocks' bounds tight.
+        lead = []
+        for i, (t, w) in enumerate(vectors):
+            own = np.flatnonzero(row[t] >= 0) if len(t) else ()
+            lead.append((int(t[own[np.argmax(w[own])]]) if len(own) else n_terms, i))
         order = np.array([i for _, i in sorted(lead)], np.int64)
-        n_blocks = max(1, -(-len(vectors) // BLOCK))
-        bound = np.zeros((max(n_terms, 1), n_blocks), np.float64)
-        keys, places, weights = [], [], []
-        for at, i in enumerate(order):
-            t, w = vectors[i]
-            np.maximum.at(bound, (t, np.full(len(t), at // BLOCK)), w)
-            keys.append((at // BLOCK) * n_terms + t.astype(np.int64))
-            places.append(np.full(len(t), at % BLOCK, np.int64))
-            weights.append(w)
-        key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        by = np.argsort(key, kind="stable")
-        starts = np.searchsorted(key[by], np.arange(n_blocks * n_terms + 1))
-        take = lambda parts: np.concatenate(parts)[by] if parts else np.zeros(0)
-        return cls(len(vectors), n_terms, bound, starts, take(places).astype(np.int64), take(weights), order)
+        n_blocks = max(1, -(-n // BLOCK))
+        begins = np.concatenate(([0], np.cumsum(sizes[order]))).astype(np.int64) if n else np.zeros(1, np.int64)
+        terms = np.concatenate([vectors[i][0] for i in order]).astype(np.int32) if n else terms
+        weights = np.concatenate([vectors[i][1] for i in order]) if n else np.zeros(0)
+        at = np.repeat(np.arange(n), sizes[order]) if n else np.zeros(0, np.int64)
+        dense = np.zeros((n_blocks, max(1, len(often)), BLOCK), np.float32)
+        held = row[terms] >= 0
+        dense[at[held] // BLOCK, row[terms[held]], at[held] % BLOCK] = weights[held]
+        rest = np.flatnonzero(~held)
+        rest = rest[np.argsort(terms[rest], kind="stable")]
+        starts = np.concatenate(([0], np.cumsum(np.bincount(terms[rest], minlength=max(n_terms, 1)))))
+        return cls(n, order, row, dense, np.ascontiguousarray(dense.max(2).T.astype(np.float64)), starts, at[rest], weights[rest], begins, terms, weights)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
         """Numbers and cosines of the k nearest examples with a cosine above 0 (ties: the smaller number first), and the blocks scored."""
         none = np.zeros(0, np.int64), np.zeros(0), 0
         if not len(terms) or not self.n:
             return none
-        bounds = weights @ self.bound[terms]
-        best_n, best_s, scored, worst = none[0], none[1], 0, 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            # Equal cosines are settled by number, so a block that can only tie is still scored; sums differ in the last bits.
-            if bounds[b] <= 0 or bounds[b] < worst - 1e-9:
-                break
-            scored += 1
-            at = b * self.n_terms + terms
-            lo, n = self.starts[at], self.starts[at + 1] - self.starts[at]
-            post = np.repeat(lo - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-            score = np.bincount(self.example[post], self.weight[post] * np.repeat(weights, n), BLOCK)
-            places = np.flatnonzero(score > 0)
-            number = self.order[b * BLOCK + places]
-            mine = number != skip
-            best_n = np.concatenate((best_n, number[mine]))
-            best_s = np.concatenate((best_s, score[places[mine]]))
-            top = np.lexsort((best_n, -np.round(best_s, 12)))[:k]
-            best_n, best_s = best_n[top], best_s[top]
-            worst = best_s[-1] if len(best_s) == k else 0.0
-        return best_n, best_s, scored
+        n_blocks, row = len(self.dense), self.row[terms]
+        rare = terms[row < 0]
+        lo, n = self.starts[rare], self.starts[rare + 1] - self.starts[rare]
+        post = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        score = np.bincount(self.example[post], self.weight[post] * np.repeat(weights[row < 0], n), n_blocks * BLOCK).astype(np.float64).reshape(n_blocks, BLOCK)
+        rows, heavy = row[row >= 0], weights[row >= 0]
+        # The postings are added up already, so that their largest sum is the bound of their part.
+        bounds = score.max(1) + heavy @ self.bound[rows]
+        by = np.argsort(-bounds, kind="stable")
+        light, at, step, worst = heavy.astype(np.float32), 0, 1, 0.0
+        alive = np.zeros(n_blocks, bool)
+        # Dense weights have single precision, so bounds get a margin, and whoever may be among the k is summed again below.
+        while at < n_blocks and bounds[by[at]] > 0 and bounds[by[at]] >= worst - 1e-5:
+            some = by[at : at + step]
+            some = some[(bounds[some] > 0) & (bounds[some] >= worst - 1e-5)]
+            score[some] += np.matmul(light, self.dense[some[:, None], rows[None, :]])
+            alive[some] = True
+            known = score[alive].ravel()
+            if len(known) > k + 1:  # one more, as the example to skip may be among them
+                worst = max(0.0, -np.partition(-known, k)[k])
+            at, step = at + len(some), min(2 * step, 32)
+        scored = int(alive.sum())
+        score[~alive] = 0
+        places = np.flatnonzero(score.ravel()[: self.n] > max(0.0, worst - 1e-5))
+        query = np.zeros(len(self.row))
+        query[terms] = weights
+        exact = np.array([query[self.terms[a:b]] @ self.weights[a:b] for a, b in zip(self.begins[places], self.begins[places + 1])])
+        number = self.order[places]
+        mine = (number != skip) & (exact > 0) if len(places) else np.zeros(0, bool)
+        number, exact = number[mine], exact[mine]
+        top = np.lexsort((number, -np.round(exact, 12)))[:k]
+        return number[top], exact[top], scored
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,43 +191,56 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.repeat(level, width)
 
 
-@dataclass
-class ToxicityModel:
-    terms: dict[str, int]
-    idf: np.ndarray
-    index: BlockMaxIndex
-    labels: np.ndarray
-    ids: np.ndarray
-    importance: np.ndarray  # by class: how many rows of all an example stands for
-    base: float
-    knots: tuple[np.ndarray, np.ndarray]
+_built: dict[str, ToxicityModel] = {}
 
-    @classmethod
-    def fit(cls, idf: dict[str, float], examples: list[tuple[int, int, list[tuple[str, int]]]], rows: dict[int, int]) -> ToxicityModel:
-        """examples: (doc_id, label, kept terms with counts), in any order; rows: labelled rows of each class in all."""
-        examples = sorted(examples, key=lambda e: (e[0], e[1]))
-        names = {t: i for i, t in enumerate(idf)}
-        model = cls(names, np.array(list(idf.values())), None, np.array([e[1] for e in examples], np.int64), np.array([e[0] for e in examples], np.int64), np.ones(2), 0.0, (np.zeros(1), np.zeros(1)))
-        n = np.bincount(model.labels, minlength=2).astype(float) if len(examples) else np.zeros(2)
-        model.importance = np.array([rows[y] / n[y] if n[y] else 0.0 for y in (0, 1)])
-        model.base = rows[1] / max(1, rows[0] + rows[1])
-        vectors = [model.vector({names[t]: c for t, c in e[2] if t in names}) for e in examples]
-        model.index = BlockMaxIndex.build(vectors, len(names))
-        if len(examples):
-            # A bounded number of examples, dealt over the sample, is enough for the calibration.
-            step = max(1, len(examples) // 2000)
-            used = range(0, len(examples), step)
-            raw = np.array([model.votes(*vectors[i], skip=i)[0] for i in used])
-            y = model.labels[list(used)]
-            weight = np.maximum(1, np.round(4 * model.importance[y] / max(model.importance.max(), 1e-9))).astype(int)
-            xs, level = isotonic(np.repeat(raw, weight), np.repeat(y, weight).astype(float))
-            model.knots = xs, np.clip(level, 0.5 / (1 + len(raw)), 1 - 0.5 / (1 + len(raw)))
-        return model
-
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        t = np.array(sorted(counts), np.int64)
-        w = (1 + np.log(np.array([counts[i] for i in t], float))) * self.idf[t] if len(t) else np.zeros(0)
-        return t, w / np.sqrt(w @ w) if len(t) else w
+
+def _restored(key: str, state: tuple) -> ToxicityModel:
+    """The model of a task; a Python worker builds its index once for all its tasks."""
+    if key not in _built:
+        _built.clear()
+        _built[key] = ToxicityModel(key, *state)
+    return _built[key]
+
+
+class ToxicityModel:
+    """``frequencies`` (term, df of all documents) stays with the driver; tasks get what the others hold."""
+
+    def __init__(self, key: str, n_docs: int, words: str, df: np.ndarray, more: str, more_df: np.ndarray, examples: tuple[np.ndarray, ...], rows: dict[int, int], knots=None, frequencies: DataFrame | None = None):
+        """words: the examples' terms, by lines; more: other frequent terms; examples: ids, labels, sizes, terms, counts."""
+        self.key, self.n_docs, self.frequencies = key, n_docs, frequencies
+        self.state = n_docs, words, df, more, more_df, examples, rows
+        self.terms = {t: i for i, t in enumerate(words.split("\n"))} if words else {}
+        self.idf = inverse_frequency(n_docs, df)
+        self.more = dict(zip(more.split("\n"), inverse_frequency(n_docs, more_df) ** 2)) if more else {}
+        self.ids, self.labels, sizes, terms, counts = examples
+        n = np.bincount(self.labels, minlength=2).astype(float)
+        self.importance = np.array([rows[y] / n[y] if n[y] else 0.0 for y in (0, 1)])  # by class: how many rows of all an example stands for
+        self.base = rows[1] / max(1, rows[0] + rows[1])
+        ends = np.cumsum(sizes)
+        self.vectors = [self.vector(terms[e - m : e], counts[e - m : e])[:2] for m, e in zip(sizes, ends)]
+        self.index = BlockMaxIndex.build(self.vectors, len(self.terms))
+        self.knots = knots or self.calibration()
+        del self.vectors
+
+    def __reduce__(self):
+        return _restored, (self.key, (*self.state, self.knots))
+
+    def calibration(self) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.labels):
+            return np.zeros(1), np.zeros(1)
+        # A bounded number of examples, dealt over the sample, is enough for the calibration.
+        used = range(0, len(self.labels), max(1, len(self.labels) // 2000))
+        raw = np.array([self.votes(*self.vectors[i], skip=i)[0] for i in used])
+        y = self.labels[list(used)]
+        weight = np.maximum(1, np.round(4 * self.importance[y] / max(self.importance.max(), 1e-9))).astype(int)
+        xs, level = isotonic(np.repeat(raw, weight), np.repeat(y, weight).astype(float))
+        return xs, np.clip(level, 0.5 / (1 + len(raw)), 1 - 0.5 / (1 + len(raw)))
+
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Terms, weights of norm 1, and the squared norm that they had."""
+        w = (1 + np.log(counts)) * self.idf[terms]
+        square = float(w @ w)
+        return terms, w / np.sqrt(square) if square else w, square
 
     def votes(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
         near, cosine, _ = self.index.search(t, w, NEIGHBOURS, skip)
@@ -205,21 +249,28 @@ class ToxicityModel:
         return float((power @ self.labels[near] + prior * self.base) / (power.sum() + prior)), near, cosine
 
     def scorer(self):
-        """text -> (score, neighbours)."""
-        # Most words hold no kept term, and their first four letters show that at once.
-        starts = {t.partition("*")[0][:4] for t in self.terms}
-        blank = self.calibrated(self.votes(np.zeros(0, np.int64), np.zeros(0))[0])
-
-        def score(text: str | None) -> tuple[float, list[tuple[int, int, float]]]:
-            held: Counter = Counter()
-            for word in _WORD.findall((text or "").lower()):
-                if word[:4] in starts:
-                    held.update(terms_of(word))
-            counts = {self.terms[t]: n for t, n in with_repeats(held).items() if t in self.terms} if held else {}
-            if not counts:
-                return blank, []
-            share, near, cosine = self.votes(*self.vector(counts))
-            return self.calibrated(share), [(int(self.ids[i]), int(self.labels[i]), float(c)) for i, c in zip(near, cosine)]
+        """text -> (score, neighbours, squared norm over the known terms, the other terms with their squared term frequency weights).
+
+        Neighbours are (id, label, cosine), the cosine over the norm of the known terms.
+        """
+
+        def score(text: str | None):
+            terms, counts, square, rest = [], [], 0.0, []
+            known, more = self.terms, self.more
+            for t, n in term_counts(text).items():
+                i = known.get(t)
+                if i is not None:
+                    terms.append(i)
+                    counts.append(n)
+                elif t in more:
+                    square += more[t] * (1 + np.log(n)) ** 2
+                else:
+                    rest.append((t, float(1 + np.log(n)) ** 2))
+            t, w, own = self.vector(np.array(terms, np.int64), np.array(counts, float))
+            share, near, cosine = self.votes(t, w)
+            whole = own + float(square)
+            shrink = np.sqrt(own / whole) if whole else 1.0
+            return self.calibrated(share), [(int(self.ids[i]), int(self.labels[i]), float(c * shrink)) for i, c in zip(near, cosine)], whole, rest
 
         return score
 
@@ -228,33 +279,43 @@ class ToxicityModel:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
-    """Learns from EXAMPLES labelled rows of each class at most. Copies among them count once.
+    """Learns from EXAMPLES labelled rows of each class at most, by the document frequencies of all ``docs``. Copies among the examples count once.
 
-    Without labelled rows the model gives every text the score 0. What reaches the driver is bounded by
-    the sample: band keys, the kept terms' counts, and the examples' counts of kept terms.
+    Without labelled rows the model gives every text the score 0. What reaches the driver is bounded by the sample (its texts,
+    and their terms' frequencies) and by the number of terms that more than one in SHARED_BY documents can hold.
     """
     rows = class_counts(labels, "toxic", *HELD_OUT)
     sample = with_texts(sample_labels(labels, "toxic", *HELD_OUT, EXAMPLES), docs)
-
-    def make():
-        return lambda text: (copy_bands(text), [{"term": t, "n": n} for t, n in term_counts(text).items()])
-
-    counted = materialize(map_texts(sample.select("doc_id", "label", "text"), ["doc_id", "label"], make, "bands array<long>, terms array<struct<term: string, n: int>>"), "toxicity-sample")
-    kept = without_copies([(r["doc_id"], r["label"], list(r["bands"])) for r in counted.select("doc_id", "label", "bands").collect()])
-    counted = counted.where(F.col("doc_id").isin(list(kept))) if kept else counted.limit(0)
-    size = {r["label"]: r["count"] for r in counted.groupBy("label").count().collect()}
-    pos, neg = size.get(1, 0), size.get(0, 0)
-    by_term = counted.select("label", F.explode("terms").alias("t")).groupBy("t.term").agg(F.sum("label").alias("p"), F.count(F.lit(1)).alias("all"))
-    with_it, n = F.col("all").cast("double"), pos + neg
-    table = F.lit(float(pos) * neg) * with_it * (n - with_it)
-    chi2 = F.try_divide(n * F.pow(F.col("p") * neg - (with_it - F.col("p")) * pos, F.lit(2)), table)
-    odds = (F.col("p") + 0.5) * (neg - with_it + F.col("p") + 0.5) / ((with_it - F.col("p") + 0.5) * (pos - F.col("p") + 0.5))
-    best = by_term.where(F.col("all") >= MIN_EXAMPLES).where((odds >= ODDS) | (odds <= 1 / ODDS)).withColumn("chi2", chi2).where(F.col("chi2") >= CHI2).orderBy(F.desc("chi2"), "term").limit(TERMS)
-    idf = choose_terms([(r["term"], r["p"], r["all"] - r["p"]) for r in best.collect()], pos, neg)
-    names = F.array(*[F.lit(t) for t in idf]) if idf else F.expr("cast(array() as array<string>)")
-    held = counted.select("doc_id", "label", F.filter("terms", lambda t: F.array_contains(names, t["term"])).alias("terms"))
-    examples = [(r["doc_id"], r["label"], [(t["term"], t["n"]) for t in r["terms"]]) for r in held.collect()]
-    return ToxicityModel.fit(idf, examples, rows)
+    found = map_texts(sample.select("doc_id", "label", "text", F.col("text").alias("of")), ["doc_id", "label", "text"], lambda: lambda text: (copy_bands(text),), "bands array<long>").toArrow().to_pylist()
+    kept = without_copies([(r["doc_id"], r["label"], r["bands"]) for r in found])
+    numbers: dict[str, int] = {}
+    parts: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    for r in sorted((r for r in found if r["doc_id"] in kept), key=lambda r: (r["doc_id"], r["label"], r["text"] or "")):
+        counts = term_counts(r["text"])
+        parts.append((r["doc_id"], r["label"], np.array([numbers.setdefault(t, len(numbers)) for t in counts], np.int32), np.array(list(counts.values()), np.int32)))
+    del found
+    join = lambda k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int32)
+    examples = np.array([p[0] for p in parts], np.int64), np.array([p[1] for p in parts], np.int64), np.array([len(p[2]) for p in parts], np.int64), join(2), join(3)
+
+    frequencies = materialize(document_frequencies(docs), "toxicity-frequencies")
+    n_docs = docs.count()
+    least, wanted = n_docs / SHARED_BY, "\n".join(numbers)
+
+    def shared(batches):
+        import pyarrow as pa
+
+        known = set(wanted.split("\n"))
+        for batch in batches:
+            yield batch.filter(pa.array([t in known or n > least for t, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())], pa.bool_()))
+
+    table = frequencies.mapInArrow(shared, frequencies.schema).toArrow()
+    df, more = np.ones(len(numbers)), {}
+    for t, n in zip(table.column(0).to_pylist(), table.column(1).to_pylist()):
+        if t in numbers:
+            df[numbers[t]] = n
+        else:
+            more[t] = n
+    return ToxicityModel(uuid.uuid4().hex, n_docs, wanted, df, "\n".join(more), np.array(list(more.values()), float), examples, rows, None, frequencies)
 
 
 SCORE_SCHEMA = "score double, evidence array<struct<doc_id: long, label: int, similarity: double>>"
@@ -267,9 +328,18 @@ def score_texts(df: DataFrame, keep: list[str], model: ToxicityModel, evidence:
         score = model.scorer()
 
         def run(text):
-            value, near = score(text)
-            return value, [{"doc_id": d, "label": y, "similarity": s} for d, y, s in near[:evidence]]
+            value, near, square, rest = score(text)
+            return value, [{"doc_id": d, "label": y, "similarity": s} for d, y, s in near[:evidence]], square, [{"term": t, "w": w} for t, w in rest] if near else []
 
         return run
 
-    return map_texts(df.select(*keep, F.col("text").alias("scored_text")), keep, make, SCORE_SCHEMA)
+    row, square, rest, more = (free_name(df, x) for x in ("row_number", "square", "rest", "more"))
+    numbered = df.select(*keep, F.monotonically_increasing_id().alias(row), F.col("text").alias("scored_text"))
+    scored = materialize(map_texts(numbered, [*keep, row], make, f"{SCORE_SCHEMA}, {square} double, {rest} array<struct<term: string, w: double>>"), "toxicity-scores")
+    # Terms that neither an example nor many documents hold: none of them is in more than one of SHARED_BY documents.
+    held = scored.select(F.col(row), F.explode(rest).alias("t")).select(row, "t.term", "t.w").join(model.frequencies, "term", "left")
+    idf = F.log((1 + F.lit(float(model.n_docs))) / (1 + F.coalesce("df", F.lit(0)))) + 1
+    added = held.groupBy(row).agg(F.sum(F.col("w") * idf * idf).alias(more))
+    shrink = F.when(F.col(square) > 0, F.sqrt(F.col(square) / (F.col(square) + F.coalesce(more, F.lit(0.0))))).otherwise(1.0)
+    whole = F.transform("evidence", lambda e: e.withField("similarity", e["similarity"] * shrink))
+    return scored.drop(rest).join(added, row, "left").select(*keep, "score", whole.alias("evidence"))

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -106,6 +108,40 @@ def test_toxicity_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in got.values())
 
 
+def plain_neighbours(docs, examples, text):
+    """(cosine, id, label) of every example with a common term, nearest first: each term counts, with its frequency in all documents."""
+    df = Counter(t for _, x in docs for t in toxicity.term_counts(x))
+    weigh = lambda x: {t: (1 + math.log(n)) * (math.log((1 + len(docs)) / (1 + df[t])) + 1) for t, n in toxicity.term_counts(x).items()}
+    norm = lambda v: math.sqrt(sum(w * w for w in v.values()))
+    q, out = weigh(text), []
+    for i, x, y in examples:
+        v = weigh(x)
+        out.append((sum(w * v.get(t, 0.0) for t, w in q.items()) / (norm(q) * norm(v) or 1), i, y))
+    return sorted((o for o in out if o[0] > 0), key=lambda o: (-round(o[0], 10), o[1]))
+
+
+@pytest.mark.parametrize("shared_by", [1000, 10])
+def test_every_term_counts_in_the_cosine(spark, monkeypatch, shared_by):
+    """Also words that tell nothing, words of one text, and words that no example holds."""
+    monkeypatch.setattr(toxicity, "SHARED_BY", shared_by)
+    r = random.Random(4)
+    rows = [(i, text_of(r, r.randint(20, 60), [f"only{i}"]), int(i % 4 == 0), 1) for i in range(200)]
+    copied = next(row for row in rows if row[2] == 1 and not held(row[0], 4, 2))
+    rows.append((1000, copied[1], None, None))
+    rows.append((1001, " ".join(copied[1].split()[:10] + ["unheard"] * 3 + ["of"]), None, None))
+    rows.append((1002, "unheard", None, None))
+    docs = spark.createDataFrame([(i, t) for i, t, *_ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, q, x) for i, _, x, q in rows if x is not None], "doc_id long, quality int, toxic int")
+    examples = [(i, t, x) for i, t, x, _ in rows if x is not None and not held(i, 4, 2)]
+    got = {row["doc_id"]: row for row in toxicity.score_texts(docs, ["doc_id"], toxicity.fit_model(docs, labels), 15).collect()}
+    assert got[1000]["evidence"][0]["doc_id"] == copied[0] and got[1000]["evidence"][0]["similarity"] == pytest.approx(1)
+    assert got[1002]["evidence"] == []
+    for i in [3, 17, 50, 1000, 1001]:
+        wanted = plain_neighbours([x[:2] for x in rows], examples, dict(x[:2] for x in rows)[i])[:15]
+        assert [(e["doc_id"], e["label"]) for e in got[i]["evidence"]] == [w[1:] for w in wanted]
+        assert [e["similarity"] for e in got[i]["evidence"]] == pytest.approx([w[0] for w in wanted])
+
+
 def test_labels_of_held_out_rows_are_never_used(spark):
     rows = corpus(200)
     docs, labels = frames(spark, rows)
