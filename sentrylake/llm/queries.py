@@ -111,10 +111,10 @@ def op8_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    rows = docs.select("doc_id", (utf8_size(F.col("text")) + 1).alias("size"), F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32"))
-    dealt = sharding.shuffle_into_shards(rows, 8)
-    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    stored = sharding.stored_shards(table(spark, sf_dir, "documents"), 8)
+    size = (utf8_size(F.col("text")) + 1).alias("size")
+    text_crc32 = F.crc32(F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")).alias("text_crc32")
+    return stored.select("doc_id", size, text_crc32, F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,15 +11,20 @@ looks up its place; no row payload is ever gathered in an array, and one exchang
 
 from __future__ import annotations
 
+import atexit
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name
+from .common import _delete, free_name, shared_folder, utf8_size
 
 #: Rows of a bucket on average. A permutation costs the square of this in 4-byte moves.
 ROWS_PER_BUCKET = 1024
 #: Buckets whose row counts are summed together in the first level of the running total.
 BUCKETS_PER_SPAN = 4096
+#: Bytes of text that a task writes, about.
+BYTES_PER_TASK = 16 << 20
 
 
 def fisher_yates(n: Column, *seed: Column) -> Column:
@@ -34,12 +39,13 @@ def fisher_yates(n: Column, *seed: Column) -> Column:
     return F.aggregate(steps, F.expr("cast(array() as array<int>)"), put)
 
 
-def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 0, id_col: str = "doc_id", rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 0, id_col: str = "doc_id", rows_per_bucket: int = ROWS_PER_BUCKET, tasks: int | None = None) -> DataFrame:
     """All rows and columns of ``df`` with ``shard`` (0 to n_shards - 1) and ``slot`` (gapless from 0 in each shard).
 
     The order is a uniform shuffle fixed by ``seed`` and the rows. Shards hold row counts that differ
     by one at most. Rows with a null id are dealt like others. Rows that share an id meet in one
     bucket, in the order of their other columns; rows equal in all columns are interchangeable.
+    With ``tasks``, rows are scattered over so many tasks by ranges of buckets, so each task holds one stretch of the sequence.
     An empty frame gives no rows. Columns named shard or slot in ``df`` are replaced.
     """
     if n_shards < 1:
@@ -60,7 +66,10 @@ def shuffle_into_shards(df: DataFrame, n_shards: int, seed: int = 0, id_col: str
 
     plain = [F.col(c) for c, kind in df.dtypes if "map" not in kind and "variant" not in kind]
     order = Window.partitionBy(bucket).orderBy(F.xxhash64(F.lit(seed + 1), F.col(id_col)), *plain)
-    ranked = df.withColumn(bucket, of_row).withColumn(rank, F.row_number().over(order))
+    scattered = df.withColumn(bucket, of_row)
+    if tasks:
+        scattered = scattered.repartitionByRange(tasks, bucket)
+    ranked = scattered.withColumn(rank, F.row_number().over(order))
     placed = ranked.join(places, bucket).withColumn(rank, F.col(before) + F.element_at(F.col(perm), F.col(rank)))
     small, larger = divmod(total, n_shards)
     edge = larger * (small + 1)
@@ -75,3 +84,18 @@ def write_shards(sharded: DataFrame, path: str, tasks_per_shard: int = 1) -> Non
     n = max(1, tasks_per_shard)
     dealt = sharded.repartitionByRange(n * (1 + (sharded.agg(F.max("shard")).first()[0] or 0)), "shard", "slot")
     dealt.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+
+
+def stored_shards(docs: DataFrame, n_shards: int) -> DataFrame:
+    """``docs``, whole, shuffled into shards that are written to the shared folder, as read back from there.
+
+    ``shard`` is that of the folder in which a row lies. The folder is deleted when the driver ends.
+    """
+    spark = docs.sparkSession
+    path = f"{shared_folder(spark)}/sentrylake-shards-{uuid.uuid4().hex}"
+    n_bytes = docs.agg(F.sum(utf8_size(F.col("text")))).first()[0] or 0
+    # A task's buckets are one stretch of the shuffled sequence, so it writes its part of a shard without another exchange.
+    sharded = shuffle_into_shards(docs, n_shards, tasks=max(n_shards, -(-n_bytes // BYTES_PER_TASK)))
+    sharded.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(sharded.schema).parquet(path)

@@ -121,6 +121,26 @@ def test_sharding_query(spark, sf_dir):
     assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in rows} == {k: (len(t) + 1, zlib.crc32(t)) for k, t in docs.items()}
 
 
+def test_sharding_query_reads_whole_documents_from_written_shards(spark, sf_dir):
+    df = queries.op9_sharding(spark, sf_dir)
+    files = df.inputFiles()
+    folders = {f.rsplit("/", 2)[1] for f in files}
+    assert folders == {f"shard={k}" for k in range(8)}
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    stored = spark.read.parquet(files[0].rsplit("/", 2)[0])
+    assert sorted(map(tuple, stored.select(docs.columns).collect()), key=repr) == sorted(map(tuple, docs.collect()), key=repr)
+    for f in files:
+        slots = [r["slot"] for r in spark.read.parquet(f).select("slot").collect()]
+        assert slots == list(range(slots[0], slots[0] + len(slots)))
+    place = ["doc_id", "shard", "slot"]
+    wanted = sharding.shuffle_into_shards(docs, 8).select(place).collect()
+    assert sorted(map(tuple, df.select(place).collect())) == sorted(map(tuple, stored.select(place).collect())) == sorted(map(tuple, wanted))
+
+
+def test_stored_shards_of_no_documents(spark):
+    assert sharding.stored_shards(spark.createDataFrame([], "doc_id long, text string"), 8).collect() == []
+
+
 def test_written_shards_are_in_slot_order(spark, tmp_path):
     out = sharding.shuffle_into_shards(spark.range(500).withColumnRenamed("id", "doc_id"), 3)
     sharding.write_shards(out, str(tmp_path / "s"))
