@@ -141,13 +141,31 @@ def _gzip(b: bytes, at: int) -> tuple[int, int, int] | None:
     return (end, at + 10, end - 8) if reader.eof else None
 
 
+def _streamed_zip(b: bytes, at: int) -> tuple[int, int, int] | None:
+    """An archive whose entries have their sizes behind them: its end is where a central directory leads back to its start."""
+    e = b.find(b"PK\5\6", at)
+    while 0 <= e <= len(b) - 22:
+        entries, size, offset, comment = struct.unpack_from("<HIIH", b, e + 10)
+        body = p = e - size
+        if body - offset == at and body > at and e + 22 + comment <= len(b):
+            while p + 46 <= e and b[p : p + 4] == b"PK\1\2":
+                p += 46 + sum(struct.unpack_from("<HHH", b, p + 28))
+                entries -= 1
+            if p == e and not entries:
+                return e + 22 + comment, at, body
+        e = b.find(b"PK\5\6", e + 4)
+    return None
+
+
 def _zip(b: bytes, at: int) -> tuple[int, int, int] | None:
     p = at
     while p + 30 <= len(b) and b[p : p + 4] == b"PK\3\4":
         flags, = struct.unpack_from("<H", b, p + 6)
         packed, = struct.unpack_from("<I", b, p + 18)
         name, extra = struct.unpack_from("<HH", b, p + 26)
-        if flags & 8 or p + 30 + name + extra + packed > len(b):
+        if flags & 8:
+            return _streamed_zip(b, at)
+        if p + 30 + name + extra + packed > len(b):
             return None
         p += 30 + name + extra + packed
     body = p
@@ -185,10 +203,15 @@ def _mp4(b: bytes, at: int) -> tuple[int, int, int] | None:
     p, seen, body = at, set(), None
     while p + 8 <= len(b):
         n, name = struct.unpack_from(">I", b, p)[0], b[p + 4 : p + 8]
-        if n < 8 or p + n > len(b) or not name.isalnum():
+        head = 8
+        if n == 1 and p + 16 <= len(b):
+            n, head = struct.unpack_from(">Q", b, p + 8)[0], 16
+        elif n == 0:
+            n = len(b) - p  # to the end of the file
+        if n < head or p + n > len(b) or not name.isalnum():
             break
         seen.add(name)
-        body = (p + 8, p + n) if name == b"mdat" else body
+        body = (p + head, p + n) if name == b"mdat" else body
         p += n
     return (p, *(body or (at, p))) if {b"ftyp", b"moov"} <= seen else None
 

@@ -227,6 +227,44 @@ def bmp():
     return b"BM" + struct.pack("<IHHI", 58, 0, 0, 54) + struct.pack("<IiiHHIIiiII", 40, 1, 1, 1, 24, 0, 4, 0, 0, 0, 0) + bytes(4)
 
 
+class Unseekable(io.RawIOBase):
+    """Makes zipfile write sizes behind the entries."""
+
+    def __init__(self):
+        self.data = b""
+
+    def writable(self):
+        return True
+
+    def write(self, data):
+        self.data += bytes(data)
+        return len(data)
+
+
+def streamed_zip():
+    out = Unseekable()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("a", "a" * 1000)
+        z.writestr("b", "b")
+    return out.data
+
+
+_FTYP, _MOOV = struct.pack(">I", 16) + b"ftypisom\0\0\0\0", struct.pack(">I", 8) + b"moov"
+
+
+@pytest.mark.parametrize("kind, whole, open_end", [
+    ("application/zip", streamed_zip(), False),
+    ("video/mp4", _FTYP + struct.pack(">I", 1) + b"mdat" + struct.pack(">Q", 20) + b"data" + _MOOV, False),
+    ("video/mp4", _FTYP + _MOOV + struct.pack(">I", 0) + b"mdat" + b"data", True),
+])
+def test_streamed_archives_and_box_sizes(kind, whole, open_end):
+    assert kind != "application/zip" or whole[6] & 8
+    found = media.inspect(whole, kind, AUTOMATON)
+    assert found[:2] == (kind, False)
+    text = b"text before " + whole + (b"" if open_end else b" and after")
+    assert [(f.start, f.end) for f in media.sniff(text, AUTOMATON)][0] == (12, 12 + len(whole))
+
+
 WHOLE = {"image/png": png(), "image/gif": gif(), "image/jpeg": jpeg(), "image/bmp": bmp(), "application/zip": zipped(), "application/gzip": gzip.compress(b"x" * 200_000), "audio/wav": media.to_wav(b"12"), "application/pdf": b"%PDF-1.4\n1 0 obj\nstartxref\n0\n%%EOF", "video/mp4": struct.pack(">I", 16) + b"ftypisom\0\0\0\0" + struct.pack(">I", 8) + b"moov"}
 
 
