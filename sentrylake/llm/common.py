@@ -66,8 +66,9 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
-def map_texts(df: DataFrame, keep: list[str], make, schema: str) -> DataFrame:
+def map_texts(df: DataFrame, keep: list[str], make, schema: str, many: bool = False) -> DataFrame:
     """Runs ``make()(values of the other columns of a row) -> tuple`` over the rows, in Arrow batches.
+    With ``many``, the function takes a list of such rows and returns a list of tuples.
 
     ``df`` holds the columns ``keep``, which are passed on, then those that the function takes;
     ``schema`` names what it returns. ``make`` runs once per task, and prepares models there. Rows are
@@ -87,17 +88,18 @@ def map_texts(df: DataFrame, keep: list[str], make, schema: str) -> DataFrame:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 values = [batch.column(len(keep) + i) for i in range(len(given))]
-                rows = [function(*(v[k].as_py() for v in values)) for k in range(batch.num_rows)]
+                given_rows = list(zip(*(v.to_pylist() for v in values)))
+                rows = function(given_rows) if many else [function(*row) for row in given_rows]
                 columns = list(zip(*rows)) or [[]] * (len(arrow) - len(keep))
                 made = [pa.array(c, type=arrow.field(len(keep) + i).type) for i, c in enumerate(columns)]
-                kept = [batch.column(i).cast(arrow.field(i).type) for i in range(len(keep))]
+                kept = [c if (c := batch.column(i)).type == arrow.field(i).type else c.cast(arrow.field(i).type) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, *made], schema=arrow)
 
     return df.mapInArrow(run, out)
 
 
 def filter_texts(df: DataFrame, make, text: str = "text") -> DataFrame:
-    """The rows whose text ``make()`` accepts, in all their columns. ``make`` runs once per task."""
+    """The rows whose text ``make()`` accepts, in all their columns. ``make`` runs once per task; it accepts a list of texts at a time."""
     at = df.columns.index(text)
 
     def run(batches):
@@ -107,6 +109,6 @@ def filter_texts(df: DataFrame, make, text: str = "text") -> DataFrame:
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                yield batch.filter(pa.array([bool(accepts(v.as_py())) for v in batch.column(at)], pa.bool_()))
+                yield batch.filter(pa.array(list(accepts(batch.column(at).to_pylist())), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -42,8 +42,11 @@ def class_counts(labels: DataFrame, label: str, parts: int, rest: int) -> dict[i
 
 
 def with_texts(sample: DataFrame, docs: DataFrame) -> DataFrame:
-    """doc_id, text, label of the sample. The sample is bounded, so it is what gets broadcast."""
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+    """doc_id, label, text of the sample, a row per id: of several texts with one id the first in code-point order.
+
+    The sample is bounded, so it is what gets broadcast, and what comes back is bounded, however often ids repeat.
+    """
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 _BANDS, _ROWS = 4, 3

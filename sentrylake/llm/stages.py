@@ -16,17 +16,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with a toxicity below THRESHOLD. The labelled rows of the corpus teach the model."""
     model = toxicity.fit_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
-    def make():
-        score = model.scorer()
-        return lambda text: score(text)[0] < THRESHOLD
-
-    return filter_texts(docs, make)
+    return filter_texts(docs, lambda: lambda texts: [found[0] < THRESHOLD for found in model.score_many(texts)])
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with a quality of at least THRESHOLD."""
     model = quality.fit_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    return filter_texts(docs, lambda: lambda text: model.score(text) >= THRESHOLD)
+    return filter_texts(docs, lambda: lambda texts: [model.score(text) >= THRESHOLD for text in texts])
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

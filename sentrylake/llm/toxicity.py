@@ -1,16 +1,17 @@
 """Toxicity by the nearest labelled examples.
 
-Labelled examples are vectors of TF-IDF weights over all their words, word beginnings and repeated beginnings; document
-frequencies are those of all documents, and norms are taken over whole texts. The examples lie in an inverted index cut into
-blocks. For each block and term the index holds the largest weight, so a query's terms give an upper
-bound of the cosine to any example of a block. Blocks are scored in descending order of bound until the
-bound falls below the k-th best cosine so far: the neighbours are exactly those of a full scan.
-
-Neighbours vote with the fourth power of their cosine, beside a vote of the base rate's in proportion to the largest. The share
-of votes is calibrated by isotonic regression on the examples themselves, each scored without itself.
-
-The share doesn't change with the length of the query's vector. So the score needs the frequencies of the examples' terms only,
-and what a text's other terms add to its norm is joined to the rows afterwards, for the cosines that are shown.
+Labelled examples are vectors of TF-IDF weights over all their words, each cut to its first five letters; document frequencies
+are those of all documents, and norms are taken over whole texts. The examples lie in an inverted index cut into blocks. For each
+block and term the index holds the largest weight, so a query's terms give an upper bound of the cosine to any example of a
+block. The blocks with the highest bounds are scored first; then those whose bound reaches the k-th best cosine so far: the
+neighbours are exactly those of a full scan.
+
+Neighbours vote by their distance: the part of the dot product that lies in terms which tell the classes apart, each term counting
+with the fourth power of its shrunk log-odds, beside a fixed vote of the base rate. The share of votes is calibrated by isotonic
+regression on the examples themselves, each scored without itself.
+
+Votes take the query's vector with norm 1 over the terms that examples hold. What its other terms add to the norm is joined to
+the rows afterwards, for the cosines that are shown.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ import re
 import uuid
 from collections import Counter
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -31,43 +31,23 @@ from .labelled import class_counts, copy_bands, sample_labels, with_texts, witho
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
 HELD_OUT = (4, 2)
 #: Labelled rows of each class at most; examples in a block; neighbours.
-EXAMPLES, BLOCK, NEIGHBOURS = 3000, 64, 15
+EXAMPLES, BLOCK, NEIGHBOURS = 3000, 64, 50
 #: Terms of the most examples, whose weights lie in dense blocks; the others lie in postings.
-DENSE = 1024
+DENSE = 2048
+#: Blocks that a query scores before it has a k-th best; queries that are searched together.
+FIRST, TOGETHER = 4, 128
 #: Terms in more than one of so many documents go to each task; there are as many times this as a document has terms, at most.
 SHARED_BY = 1000
 #: Terms that a task counts before it hands its counts on.
 COUNTED_AT_ONCE = 300_000
-#: The weight of the base rate's vote, as of neighbours with a cosine of 1.
-PRIOR_VOTE = 0.5
-_WORD = re.compile(r"\w+")
-
-
-@lru_cache(1 << 17)
-def terms_of(word: str) -> tuple[str, ...]:
-    """A lower-cased word, and its first four and five letters where it is longer."""
-    out = [word]
-    for n in (4, 5):
-        if len(word) > n:
-            out.append(f"{word[:n]}*")
-    return tuple(out)
+#: The vote of the base rate; examples that a term's log-odds are shrunk by.
+PRIOR_VOTE, SHRINK = 0.7, 4.0
+_TERM = re.compile(r"(\w{1,5})\w*")
 
 
 def term_counts(text: str | None) -> dict[str, int]:
-    """Terms of the whole text; none for null and empty texts.
-
-    A term is added for each beginning that occurs twice or more, and one for four times or more: chance seldom repeats itself.
-    """
-    found: dict[str, int] = {}
-    for word, n in Counter(_WORD.findall((text or "").lower())).items():
-        for t in terms_of(word):
-            found[t] = found.get(t, 0) + n
-    often = [(t, n) for t, n in found.items() if n >= 2 and t[-1] == "*"]
-    for t, n in often:
-        found[t + "2"] = 1
-        if n >= 4:
-            found[t + "4"] = 1
-    return found
+    """Terms of the whole text, each with its number: the first five letters of every lower-cased word. None for null and empty texts."""
+    return Counter(_TERM.findall((text or "").lower()))
 
 
 def inverse_frequency(n_docs: int, df: np.ndarray) -> np.ndarray:
@@ -84,7 +64,7 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
         make = lambda: pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["term", "df"])
         for batch in batches:
             for text in batch.column(0):
-                held.update(term_counts(text.as_py()).keys())
+                held.update(set(_TERM.findall((text.as_py() or "").lower())))
                 if len(held) >= COUNTED_AT_ONCE:
                     yield make()
                     held.clear()
@@ -112,7 +92,7 @@ class BlockMaxIndex:
     @classmethod
     def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> BlockMaxIndex:
         n, sizes = len(vectors), np.array([len(t) for t, _ in vectors], np.int64)
-        terms = np.concatenate([t for t, _ in vectors]).astype(np.int32) if n else np.zeros(0, np.int32)
+        terms = np.concatenate([t for t, _ in vectors]).astype(np.intp) if n else np.zeros(0, np.intp)
         df = np.bincount(terms, minlength=n_terms)
         often = np.argsort(-df, kind="stable")[:DENSE]
         row = np.full(max(n_terms, 1), -1, np.int32)
@@ -125,7 +105,7 @@ class BlockMaxIndex:
         order = np.array([i for _, i in sorted(lead)], np.int64)
         n_blocks = max(1, -(-n // BLOCK))
         begins = np.concatenate(([0], np.cumsum(sizes[order]))).astype(np.int64) if n else np.zeros(1, np.int64)
-        terms = np.concatenate([vectors[i][0] for i in order]).astype(np.int32) if n else terms
+        terms = np.concatenate([vectors[i][0] for i in order]).astype(np.intp) if n else terms
         weights = np.concatenate([vectors[i][1] for i in order]) if n else np.zeros(0)
         at = np.repeat(np.arange(n), sizes[order]) if n else np.zeros(0, np.int64)
         dense = np.zeros((n_blocks, max(1, len(often)), BLOCK), np.float32)
@@ -134,45 +114,84 @@ class BlockMaxIndex:
         rest = np.flatnonzero(~held)
         rest = rest[np.argsort(terms[rest], kind="stable")]
         starts = np.concatenate(([0], np.cumsum(np.bincount(terms[rest], minlength=max(n_terms, 1)))))
-        return cls(n, order, row, dense, np.ascontiguousarray(dense.max(2).T.astype(np.float64)), starts, at[rest], weights[rest], begins, terms, weights)
-
-    def search(self, terms: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> tuple[np.ndarray, np.ndarray, int]:
-        """Numbers and cosines of the k nearest examples with a cosine above 0 (ties: the smaller number first), and the blocks scored."""
-        none = np.zeros(0, np.int64), np.zeros(0), 0
-        if not len(terms) or not self.n:
-            return none
-        n_blocks, row = len(self.dense), self.row[terms]
-        rare = terms[row < 0]
-        lo, n = self.starts[rare], self.starts[rare + 1] - self.starts[rare]
+        return cls(n, order, row, dense, np.ascontiguousarray(dense.max(2).T), starts, at[rest], weights[rest], begins, terms, weights)
+
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None, factor: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+        """For each query (terms, weights) the numbers and cosines of the k nearest examples with a cosine above 0 (ties: the
+        smaller number first), the parts of the same dot products with each term times ``factor``, and how many blocks were scored.
+
+        ``skip``: an example for each query that is none of its neighbours. Scores are summed in single precision, so bounds get a
+        margin, and whoever may be among the k is summed again in double precision.
+        """
+        out = []
+        for at in range(0, len(queries), TOGETHER):
+            out += self._search(queries[at : at + TOGETHER], k, (skip or [-1] * len(queries))[at : at + TOGETHER], factor)
+        return out
+
+    def told(self, factor: np.ndarray | None) -> np.ndarray:
+        """The examples' weights times ``factor``, made once for each factor."""
+        if factor is None:
+            return self.weights
+        if getattr(self, "_told", (None,))[0] is not factor:
+            self._told = factor, self.weights * factor[self.terms]
+        return self._told[1]
+
+    def _search(self, queries, k, skip, factor):
+        m, n_blocks = len(queries), len(self.dense)
+        width = n_blocks * BLOCK
+        who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
+        terms = np.concatenate([t for t, _ in queries]).astype(np.int64)
+        weights = np.concatenate([w for _, w in queries])
+        row = self.row[terms]
+        rare = row < 0
+        lo, n = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
         post = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        score = np.bincount(self.example[post], self.weight[post] * np.repeat(weights[row < 0], n), n_blocks * BLOCK).astype(np.float64).reshape(n_blocks, BLOCK)
-        rows, heavy = row[row >= 0], weights[row >= 0]
+        score = np.bincount(np.repeat(who[rare] * width, n) + self.example[post], np.repeat(weights[rare], n) * self.weight[post], m * width)
+        score = score.astype(np.float32).reshape(m, n_blocks, BLOCK)
+        heavy = np.zeros((m, self.bound.shape[0]), np.float32)
+        heavy[who[~rare], row[~rare]] = weights[~rare]
         # The postings are added up already, so that their largest sum is the bound of their part.
-        bounds = score.max(1) + heavy @ self.bound[rows]
-        by = np.argsort(-bounds, kind="stable")
-        light, at, step, worst = heavy.astype(np.float32), 0, 1, 0.0
-        alive = np.zeros(n_blocks, bool)
-        # Dense weights have single precision, so bounds get a margin, and whoever may be among the k is summed again below.
-        while at < n_blocks and bounds[by[at]] > 0 and bounds[by[at]] >= worst - 1e-5:
-            some = by[at : at + step]
-            some = some[(bounds[some] > 0) & (bounds[some] >= worst - 1e-5)]
-            score[some] += np.matmul(light, self.dense[some[:, None], rows[None, :]])
-            alive[some] = True
-            known = score[alive].ravel()
-            if len(known) > k + 1:  # one more, as the example to skip may be among them
-                worst = max(0.0, -np.partition(-known, k)[k])
-            at, step = at + len(some), min(2 * step, 32)
-        scored = int(alive.sum())
+        bounds = score.max(2) + heavy @ self.bound
+        alive = np.zeros((m, n_blocks), bool)
+
+        def score_blocks(wanted: np.ndarray) -> None:
+            for b in np.flatnonzero(wanted.any(0)):
+                some = np.flatnonzero(wanted[:, b])
+                score[some, b] += heavy[some] @ self.dense[b]
+            alive[wanted] = True
+
+        def worst() -> np.ndarray:
+            """The k-th best score so far, of those that are not to be skipped at least."""
+            known = np.where(alive[:, :, None], score, 0).reshape(m, width)
+            return np.maximum(-np.partition(-known, k, axis=1)[:, k], 0) if width > k else np.zeros(m, np.float32)
+
+        first = np.zeros_like(alive)
+        np.put_along_axis(first, np.argpartition(-bounds, min(FIRST, n_blocks) - 1, axis=1)[:, :FIRST], True, axis=1)
+        score_blocks(first & (bounds > 0))
+        score_blocks(~alive & (bounds > 0) & (bounds >= worst()[:, None] - 1e-5))
+        least, scored = np.maximum(worst() - 1e-5, 0), alive.sum(1)
         score[~alive] = 0
-        places = np.flatnonzero(score.ravel()[: self.n] > max(0.0, worst - 1e-5))
+        near, out = score.reshape(m, width)[:, : self.n] > least[:, None], []
+        telling = self.told(factor)
         query = np.zeros(len(self.row))
-        query[terms] = weights
-        exact = np.array([query[self.terms[a:b]] @ self.weights[a:b] for a, b in zip(self.begins[places], self.begins[places + 1])])
-        number = self.order[places]
-        mine = (number != skip) & (exact > 0) if len(places) else np.zeros(0, bool)
-        number, exact = number[mine], exact[mine]
-        top = np.lexsort((number, -np.round(exact, 12)))[:k]
-        return number[top], exact[top], scored
+        for i, (own, heft) in enumerate(queries):
+            places = np.flatnonzero(near[i])
+            if not len(places):
+                out.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(0), int(scored[i])))
+                continue
+            query[own] = heft
+            spans = [slice(a, b) for a, b in zip(self.begins[places].tolist(), self.begins[places + 1].tolist())]
+            start = np.cumsum([0, *(x.stop - x.start for x in spans[:-1])])
+            held = query.take(np.concatenate([self.terms[x] for x in spans]), mode="clip")
+            exact = np.add.reduceat(held * np.concatenate([self.weights[x] for x in spans]), start)
+            part = np.add.reduceat(held * np.concatenate([telling[x] for x in spans]), start)
+            query[own] = 0
+            number = self.order[places]
+            mine = (number != skip[i]) & (exact > 0)
+            number, exact, part = number[mine], exact[mine], part[mine]
+            top = np.lexsort((number, -np.round(exact, 12)))[:k]
+            out.append((number[top], exact[top], part[top], int(scored[i])))
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,73 +228,69 @@ class ToxicityModel:
         """words: the examples' terms, by lines; more: other frequent terms; examples: ids, labels, sizes, terms, counts."""
         self.key, self.n_docs, self.frequencies = key, n_docs, frequencies
         self.state = n_docs, words, df, more, more_df, examples, rows
-        self.terms = {t: i for i, t in enumerate(words.split("\n"))} if words else {}
-        self.idf = inverse_frequency(n_docs, df)
-        self.more = dict(zip(more.split("\n"), inverse_frequency(n_docs, more_df) ** 2)) if more else {}
+        self.n_terms = len(df) if words else 0
+        self.terms = {t: i for i, t in enumerate([*(words.split("\n") if words else ()), *(more.split("\n") if more else ())])}
+        self.idf = inverse_frequency(n_docs, np.concatenate((df[: self.n_terms], more_df)))
         self.ids, self.labels, sizes, terms, counts = examples
         n = np.bincount(self.labels, minlength=2).astype(float)
         self.importance = np.array([rows[y] / n[y] if n[y] else 0.0 for y in (0, 1)])  # by class: how many rows of all an example stands for
-        self.base = rows[1] / max(1, rows[0] + rows[1])
+        self.base = n[1] / max(1.0, n.sum())
+        label = np.repeat(self.labels, sizes)
+        held = [np.bincount(terms[label == y], minlength=max(1, self.n_terms)) for y in (0, 1)]
+        odds = [(held[y] + SHRINK * (n[y] / max(1.0, n.sum()))) / max(1.0, n[y]) for y in (0, 1)]
+        self.factor = np.log(odds[1] / odds[0]) ** 4 if all(n) else np.zeros(max(1, self.n_terms))
         ends = np.cumsum(sizes)
-        self.vectors = [self.vector(terms[e - m : e], counts[e - m : e])[:2] for m, e in zip(sizes, ends)]
-        self.index = BlockMaxIndex.build(self.vectors, len(self.terms))
-        self.knots = knots or self.calibration()
-        del self.vectors
+        vectors = [self.vector(terms[e - m : e], counts[e - m : e]) for m, e in zip(sizes, ends)]
+        self.index = BlockMaxIndex.build(vectors, self.n_terms)
+        self.knots = knots or self.calibration(vectors)
 
     def __reduce__(self):
         return _restored, (self.key, (*self.state, self.knots))
 
-    def calibration(self) -> tuple[np.ndarray, np.ndarray]:
+    def calibration(self, vectors) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.labels):
             return np.zeros(1), np.zeros(1)
         # A bounded number of examples, dealt over the sample, is enough for the calibration.
-        used = range(0, len(self.labels), max(1, len(self.labels) // 2000))
-        raw = np.array([self.votes(*self.vectors[i], skip=i)[0] for i in used])
-        y = self.labels[list(used)]
+        used = list(range(0, len(self.labels), max(1, len(self.labels) // 2000)))
+        raw = np.array([self.share(*near[:3]) for near in self.index.search([vectors[i] for i in used], NEIGHBOURS, used, self.factor)])
+        y = self.labels[used]
         weight = np.maximum(1, np.round(4 * self.importance[y] / max(self.importance.max(), 1e-9))).astype(int)
         xs, level = isotonic(np.repeat(raw, weight), np.repeat(y, weight).astype(float))
         return xs, np.clip(level, 0.5 / (1 + len(raw)), 1 - 0.5 / (1 + len(raw)))
 
-    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        """Terms, weights of norm 1, and the squared norm that they had."""
+    def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms, and their weights of norm 1."""
         w = (1 + np.log(counts)) * self.idf[terms]
-        square = float(w @ w)
-        return terms, w / np.sqrt(square) if square else w, square
+        return terms, w / np.sqrt(w @ w) if len(w) else w
 
-    def votes(self, t: np.ndarray, w: np.ndarray, skip: int = -1) -> tuple[float, np.ndarray, np.ndarray]:
-        near, cosine, _ = self.index.search(t, w, NEIGHBOURS, skip)
-        power = cosine**4 * self.importance[self.labels[near]] / max(self.importance.max(), 1e-9)
-        prior = PRIOR_VOTE * (power.max() if len(power) else 1.0)
-        return float((power @ self.labels[near] + prior * self.base) / (power.sum() + prior)), near, cosine
+    def share(self, near: np.ndarray, cosine: np.ndarray, part: np.ndarray) -> float:
+        """The share of the votes for label 1; only terms that tell something give votes their weight."""
+        return float((part @ self.labels[near] + PRIOR_VOTE * self.base) / (part.sum() + PRIOR_VOTE))
 
-    def scorer(self):
-        """text -> (score, neighbours, squared norm over the known terms, the other terms with their squared term frequency weights).
+    def score_many(self, texts: list[str | None]) -> list[tuple[float, list[tuple[int, int, float]], float, list[tuple[str, float]]]]:
+        """For each text: score, neighbours, squared norm over the known terms, the other terms with their squared term frequency weights.
 
         Neighbours are (id, label, cosine), the cosine over the norm of the known terms.
         """
-
-        def score(text: str | None):
-            terms, counts, square, rest = [], [], 0.0, []
-            known, more = self.terms, self.more
-            for t, n in term_counts(text).items():
-                i = known.get(t)
-                if i is not None:
-                    terms.append(i)
-                    counts.append(n)
-                elif t in more:
-                    square += more[t] * (1 + np.log(n)) ** 2
-                else:
-                    rest.append((t, float(1 + np.log(n)) ** 2))
-            t, w, own = self.vector(np.array(terms, np.int64), np.array(counts, float))
-            share, near, cosine = self.votes(t, w)
-            whole = own + float(square)
-            shrink = np.sqrt(own / whole) if whole else 1.0
-            return self.calibrated(share), [(int(self.ids[i]), int(self.labels[i]), float(c * shrink)) for i, c in zip(near, cosine)], whole, rest
-
-        return score
-
-    def calibrated(self, share: float) -> float:
-        return float(np.interp(share, *self.knots))
+        queries, whole, rest = [], [], []
+        for text in texts:
+            counts = term_counts(text)
+            place = np.fromiter(map(self.terms.get, counts, [-1] * len(counts)), np.int64, len(counts))
+            frequency = 1 + np.log(np.fromiter(counts.values(), float, len(counts)))
+            known = place >= 0
+            weight = frequency[known] * self.idf[place[known]]
+            mine = place[known] < self.n_terms
+            heft = weight[mine]
+            own = float(heft @ heft)
+            queries.append((place[known][mine], heft / np.sqrt(own) if own else heft))
+            whole.append((own, float(weight @ weight)))
+            rest.append([(t, float(f) ** 2) for t, f, k in zip(counts, frequency, known) if not k] if not known.all() else [])
+        out = []
+        for (near, cosine, part, _), (own, square), others in zip(self.index.search(queries, NEIGHBOURS, None, self.factor) if queries else [], whole, rest):
+            shrink = np.sqrt(own / square) if square else 1.0
+            score = float(np.interp(self.share(near, cosine, part), *self.knots))
+            out.append((score, [(int(self.ids[i]), int(self.labels[i]), float(c * shrink)) for i, c in zip(near, cosine)], square, others))
+        return out
 
 
 def fit_model(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
@@ -322,20 +337,24 @@ SCORE_SCHEMA = "score double, evidence array<struct<doc_id: long, label: int, si
 
 
 def score_texts(df: DataFrame, keep: list[str], model: ToxicityModel, evidence: int = 3) -> DataFrame:
-    """``keep``, then the score of each row's ``text`` and its nearest labelled examples. Null and empty texts get the base score."""
+    """``keep``, then the score of each row's ``text`` and its nearest labelled examples.
 
-    def make():
-        score = model.scorer()
+    Null, empty and wordless texts get the score of the base rate and no evidence; so do texts without a term that any example
+    holds. Texts are read whole, whatever their length; repeated rows come out repeated, with equal values; among equally near
+    examples the one with the smaller id stands first. An empty frame gives no rows, an empty table of labels the score 0 for all.
+    Columns that are not in ``keep`` are dropped, whatever their names.
+    """
 
-        def run(text):
-            value, near, square, rest = score(text)
-            return value, [{"doc_id": d, "label": y, "similarity": s} for d, y, s in near[:evidence]], square, [{"term": t, "w": w} for t, w in rest] if near else []
+    def make():
+        def run(rows):
+            found = model.score_many([text for text, in rows])
+            return [(value, [{"doc_id": d, "label": y, "similarity": s} for d, y, s in near[:evidence]], square, [{"term": t, "w": w} for t, w in rest] if near else []) for value, near, square, rest in found]
 
         return run
 
     row, square, rest, more = (free_name(df, x) for x in ("row_number", "square", "rest", "more"))
     numbered = df.select(*keep, F.monotonically_increasing_id().alias(row), F.col("text").alias("scored_text"))
-    scored = materialize(map_texts(numbered, [*keep, row], make, f"{SCORE_SCHEMA}, {square} double, {rest} array<struct<term: string, w: double>>"), "toxicity-scores")
+    scored = materialize(map_texts(numbered, [*keep, row], make, f"{SCORE_SCHEMA}, {square} double, {rest} array<struct<term: string, w: double>>", many=True), "toxicity-scores")
     # Terms that neither an example nor many documents hold: none of them is in more than one of SHARED_BY documents.
     held = scored.select(F.col(row), F.explode(rest).alias("t")).select(row, "t.term", "t.w").join(model.frequencies, "term", "left")
     idf = F.log((1 + F.lit(float(model.n_docs))) / (1 + F.coalesce("df", F.lit(0)))) + 1

@@ -81,14 +81,20 @@ def test_block_max_search_equals_a_full_scan():
 
     vectors = [vector() for _ in range(700)]
     index = toxicity.BlockMaxIndex.build(vectors, 60)
-    spared = 0
+    spared, together = 0, []
     for i in range(200):
         q = vectors[i] if i % 2 else vector()
-        near, cosine, blocks = index.search(*q, 7, skip=i if i % 2 else -1)
+        near, cosine, _, blocks = index.search([q], 7, [i if i % 2 else -1])[0]
         assert list(near) == full_scan(vectors, q, 7, i if i % 2 else -1)
         assert list(cosine) == sorted(cosine, reverse=True)
         spared += index.bound.shape[1] - blocks
+        together.append((q, i if i % 2 else -1, list(near), list(cosine)))
     assert spared > 200, "bounds spare blocks"
+    factor = r.rand(60)
+    for (q, skip, near, cosine), (n, c, part, _) in zip(together, index.search([t[0] for t in together], 7, [t[1] for t in together], factor)):
+        assert near == list(n) and cosine == pytest.approx(list(c))
+        own = dict(zip(*map(list, q)))
+        assert list(part) == pytest.approx([sum(own.get(int(t), 0.0) * w * factor[t] for t, w in zip(*vectors[i])) for i in near])
 
 
 def test_isotonic():
