@@ -42,7 +42,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/sentrylake-{name}-{uuid.uuid4().hex}"
     schema = df.schema
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     atexit.register(_delete, spark, path)
     return spark.read.schema(schema).parquet(path)
 
@@ -66,6 +66,31 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return name
 
 
+#: Rows of an Arrow batch, where the session doesn't say: two batches of long texts fit a task's memory on either side.
+BATCH_ROWS = 1024
+
+
+def small_batches(df: DataFrame) -> None:
+    """Lets Arrow batches hold BATCH_ROWS rows, unless the session has a size of its own."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if df.sparkSession.conf.get(name, None) is None:
+        df.sparkSession.conf.set(name, BATCH_ROWS)
+
+
+def give_back() -> None:
+    """Returns what a task has freed to the system, as workers stay for the next stages."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def map_texts(df: DataFrame, keep: list[str], make, schema: str, many: bool = False) -> DataFrame:
     """Runs ``make()(values of the other columns of a row) -> tuple`` over the rows, in Arrow batches.
     With ``many``, the function takes a list of such rows and returns a list of tuples.
@@ -94,7 +119,9 @@ def map_texts(df: DataFrame, keep: list[str], make, schema: str, many: bool = Fa
                 made = [pa.array(c, type=arrow.field(len(keep) + i).type) for i, c in enumerate(columns)]
                 kept = [c if (c := batch.column(i)).type == arrow.field(i).type else c.cast(arrow.field(i).type) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*kept, *made], schema=arrow)
+        give_back()
 
+    small_batches(df)
     return df.mapInArrow(run, out)
 
 
@@ -110,5 +137,7 @@ def filter_texts(df: DataFrame, make, text: str = "text") -> DataFrame:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
                 yield batch.filter(pa.array(list(accepts(batch.column(at).to_pylist())), pa.bool_()))
+        give_back()
 
+    small_batches(df)
     return df.mapInArrow(run, df.schema)

@@ -1,14 +1,17 @@
 """N-gram Jaccard self-join by MinHash banding, and the groups of near copies that it links.
 
 1. Each text becomes its set of word 5-grams (64-bit hashes). Texts of one set are one class, and from
-   then on a class is one row, however many copies it has.
+   then on a class is one row, however many copies it has. Classes get numbers in the order of their
+   smallest doc_id, so that equal ids on different texts stay apart.
 2. Band and row counts are chosen for the target recall at the threshold; classes meet in the buckets
-   of their band hashes. Classes that buckets chain together are one group, so that each class
-   travels once; very large groups are left as their buckets.
-3. A group's classes are cut into blocks by hash, and every pair of blocks is a unit of work of
-   its own, so no task holds a large group. A unit gets its classes' texts, which travel smaller than
-   their sets, and verifies all pairs exactly on the full sets. In buckets a pair counts in the first band that it shares, so each link counts once. A unit
-   returns one row per class, with its links and one neighbour, and never a row per pair.
+   of their band hashes. A pair is a link if it shares a bucket and its similarity, on the full sets,
+   reaches the threshold. That is the law at every size.
+3. What a pair of classes needs to meet only settles what travels: classes that buckets chain together
+   are one group, so that each class travels once; groups that would need many blocks are left as their
+   buckets, where a pair counts in the first band that it shares. Groups and buckets are cut into blocks
+   bounded by classes and by shingles, and every pair of blocks is a unit of work of its own, so no task
+   holds a large group. A unit gets its classes' texts, which travel smaller than their sets, and returns
+   one row per class, with its links and one neighbour, and never a row per pair.
 4. The groups are the connected components over these neighbours, found by alternating star
    operations on distributed edges.
 """
@@ -20,18 +23,25 @@ from collections.abc import Iterable
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, free_name, map_texts, materialize
+from .common import discard, give_back, map_texts, materialize, small_batches
 
 #: Words of a shingle, least similarity, and the least chance that a pair of that similarity shares a band.
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-#: Hash functions at most, classes of one block of a group, and of a group that isn't left as buckets.
-HASHES, BLOCK, GROUP = 128, 512, 4096
+#: Hash functions at most; classes and shingles of one block, about; blocks of a group that isn't left as buckets.
+HASHES, BLOCK, SHINGLES, BLOCKS = 128, 512, 1 << 20, 8
 #: Rows of the broadcast table of hashes at most: 4 bytes each.
 FILTER = 1 << 20
+#: Edges from which on a node counts as a hub, at least; hubs at most, which are broadcast: 16 bytes each.
+HUB, HUBS = 256, 100_000
+#: Edges of a file, about: a round's result is written by so few tasks.
+EDGES = 1_000_000
+#: Characters of a text whose words are looked up at once.
+PIECE = 1 << 20
 _WORD = re.compile(r"\w+")
+_GAP = re.compile(r"\W")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -54,13 +64,24 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def word_hashes(text: str) -> np.ndarray:
+    """Of every word in its order. Very long texts are read in pieces that end at a gap, so that their words needn't be held at once."""
+    parts, at = [], 0
+    while at < len(text):
+        gap = _GAP.search(text, at + PIECE) if len(text) - at > PIECE else None
+        end = gap.start() if gap else len(text)
+        words = _WORD.findall(text, at, end)
+        parts.append(np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)))
+        at = end
+    return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+
+
 def shingle_set(text: str | None, n: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of the runs of ``n`` lower-cased words; of all words, if there are fewer; empty without words."""
-    words = _WORD.findall((text or "").lower())
-    if not words:
+    h = word_hashes((text or "").lower())
+    if not len(h):
         return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    size = min(n, len(words))
+    size = min(n, len(h))
     out = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
         out = _mixed(out * _MIX + h[k : len(h) - size + 1 + k])
@@ -87,8 +108,8 @@ class Banding:
         return key.view(np.int64)
 
 
-def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, class_key (128-bit hash of the whole set), n_shingles, bands (null without words)."""
+def signatures(docs: DataFrame, kept: list[str], bands: int, rows: int, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, row (a struct of the columns ``kept``), class_key (128-bit hash of the whole set), n_shingles, bands (null without words)."""
 
     def make():
         banding = Banding(bands, rows)
@@ -99,53 +120,73 @@ def signatures(docs: DataFrame, bands: int, rows: int, text: str = "text", doc_i
 
         return run
 
-    return map_texts(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), ["doc_id"], make, "class_key binary, n_shingles long, bands array<long>")
+    plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.struct(*[docs[c] for c in kept]).alias("row"), F.col(text).alias("text"))
+    return map_texts(plain, ["doc_id", "row"], make, "class_key binary, n_shingles long, bands array<long>")
+
+
+def numbered_classes(known: DataFrame) -> DataFrame:
+    """class_key, rep (its smallest doc_id), times (rows with that id), copies, n_shingles, bands, and node: a number in the order of rep."""
+    rows = known.groupBy("class_key", "doc_id").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("n_shingles", "bands")).alias("set"))
+    classes = rows.groupBy("class_key").agg(F.min(F.struct("doc_id", "n")).alias("first"), F.sum("n").alias("copies"), F.first("set").alias("set"))
+    classes = classes.select("class_key", F.col("first.doc_id").alias("rep"), F.col("first.n").alias("times"), "copies", "set.n_shingles", "set.bands")
+    dealt = classes.repartitionByRange("rep", "class_key").sortWithinPartitions("rep", "class_key")
+    return materialize(dealt.withColumn("node", F.monotonically_increasing_id()), "classes")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """key, band, n, low, rep: the members of every bucket that holds two classes or more; ``low`` is its smallest."""
-    spread = classes.select("rep", F.posexplode("bands").alias("band", "key"))
-    sizes = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("low")).where("n > 1")
+    """key, n, low, node: the members of every bucket that holds two classes or more; ``low`` is its smallest. One exchange serves both uses."""
+    spread = classes.select("node", F.explode("bands").alias("key")).repartition("key")
+    sizes = spread.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low")).where("n > 1")
     return spread.join(sizes, "key")
 
 
-def gathered(members: DataFrame) -> DataFrame:
-    """key, band, n, rep: the groups whose pairs are verified.
+def blocks_of(n: Column, shingles: Column) -> Column:
+    return F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / SHINGLES)).cast("int")
+
 
-    Classes that meet in any bucket, directly or through others, are one group of band 0, and each class is in
-    one such group only. Groups beyond GROUP members, where chance meetings may have chained much
+def gathered(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """key, band, blocks, node: the classes whose pairs are verified together.
+
+    Classes that meet in any bucket, directly or through others, are one group of band -1, and each class is in
+    one such group only. Groups of more than BLOCKS blocks, where chance meetings may have chained much
     together, are left as their buckets, without those that hold the same classes as one of an earlier band.
     """
-    chained = materialize(connected_components(members.select(F.col("rep").alias("a"), F.col("low").alias("b")).where("a <> b")), "chains")
-    sizes = chained.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
-    sized = chained.join(sizes, "component")
-    whole = sized.where(F.col("n") <= GROUP).select(F.col("component").alias("key"), F.lit(0).alias("band"), "n", F.col("node").alias("rep"))
-    large = members.join(sized.where(F.col("n") > GROUP).select(F.col("node").alias("rep")), "rep", "left_semi")
-    marks = [F.bit_xor(F.xxhash64(F.lit(k), F.col("rep"))).alias(f"mark{k}") for k in (1, 2)]
-    alike = large.groupBy("key", "band", "n").agg(*marks).groupBy("n", "mark1", "mark2").agg(F.min(F.struct("band", "key")).alias("b"))
-    parts = large.select("key", "band", "n", "rep").join(alike.select(F.col("b.key").alias("key")), "key", "left_semi")
-    return whole.unionByName(parts.select("key", "band", "n", "rep"))
-
-
-def units(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Deals a group's members to its pairs of blocks: key, band, i, j (i <= j), side, rep. One unit up to ``block`` members."""
-    n_blocks = F.ceil(F.col("n") / block).cast("int")
-    mine = F.pmod(F.xxhash64(F.lit(3), F.col("rep")), n_blocks).cast("int")
-    m = members.withColumn("blocks", n_blocks).withColumn("mine", mine)
-    m = m.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return m.select("key", "band", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "rep", "copies", "bands")
-
-
-def verify_unit(band: int, apart: bool, rep: np.ndarray, side: np.ndarray, copies: np.ndarray, keys: list[list[int] | None], sets: list[np.ndarray], threshold: float = THRESHOLD) -> Iterable[tuple[int, int, int]]:
-    """(rep, neighbour, links) of each class with a link in the unit: the copies of all classes that it is linked to
-    first in this band, and the smallest class that these links reach. ``apart``: only pairs across the two sides count.
-    keys: the hashes of the earlier bands, of which no pair that counts has one in common."""
-    n = len(rep)
-    earlier = np.zeros((n, n), bool)
-    for b in range(band):
-        column = np.array([k[b] for k in keys])
-        earlier |= column[:, None] == column[None]
-    wanted = ~earlier
+    chains = connected_components(members.select(F.col("node").alias("a"), F.col("low").alias("b")).where("a <> b"))
+    chained = materialize(chains.join(classes.select("node", "n_shingles"), "node"), "chains")
+    discard(chains)
+    sizes = chained.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
+    sized = chained.join(sizes.select("component", blocks_of(F.col("n"), F.col("shingles")).alias("blocks")), "component")
+    whole = sized.where(F.col("blocks") <= BLOCKS).select(F.col("component").alias("key"), F.lit(-1).alias("band"), "blocks", "node")
+    large = members.join(sized.where(F.col("blocks") > BLOCKS).select("node", "n_shingles"), "node").join(classes.select("node", "bands"), "node")
+    large = large.select("key", "n", "node", "n_shingles", (F.array_position("bands", F.col("key")) - 1).cast("int").alias("band"))
+    marks = [F.bit_xor(F.xxhash64(F.lit(k), F.col("node"))).alias(f"mark{k}") for k in (1, 2)]
+    held = large.groupBy("key", "band", "n").agg(F.sum("n_shingles").alias("shingles"), *marks)
+    alike = held.groupBy("n", "mark1", "mark2").agg(F.min(F.struct("band", "key")).alias("b"), F.max("shingles").alias("shingles"))
+    kept = alike.select(F.col("b.key").alias("key"), blocks_of(F.col("n"), F.col("shingles")).alias("blocks"))
+    groups = materialize(whole.unionByName(large.select("key", "band", "node").join(kept, "key").select("key", "band", "blocks", "node")), "groups")
+    discard(chained)
+    return groups
+
+
+def units(members: DataFrame) -> DataFrame:
+    """Deals the members to pairs of blocks: key, band, i, j (i <= j), side, and their other columns. One block is one unit."""
+    mine = F.pmod(F.xxhash64(F.lit(3), F.col("node")), F.col("blocks")).cast("int")
+    m = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    m = m.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).withColumn("side", (F.col("mine") > F.col("other")).cast("int"))
+    return m.drop("blocks", "mine", "other")
+
+
+def verify_unit(band: int, apart: bool, node: np.ndarray, side: np.ndarray, copies: np.ndarray, keys: list[list[int]], sets: list[np.ndarray], threshold: float = THRESHOLD) -> Iterable[tuple[int, int, int]]:
+    """(node, neighbour, links) of each class with a link in the unit: the copies of all classes that it is linked to,
+    and the smallest class that these links reach. ``apart``: only pairs across the two sides count.
+
+    keys: in a group (band -1) the hashes of all bands, of which a pair that counts shares one or more; in a bucket those of the
+    earlier bands, of which it shares none."""
+    n, rep = len(node), node
+    shared_band = np.zeros((n, n), bool)
+    for column in np.array(keys, np.int64).reshape(n, -1).T:
+        shared_band |= column[:, None] == column[None]
+    wanted = shared_band if band < 0 else ~shared_band
     wanted &= np.triu(np.ones((n, n), bool), 1)
     if apart:
         wanted &= side[:, None] != side[None]
@@ -193,22 +234,21 @@ def verify_unit(band: int, apart: bool, rep: np.ndarray, side: np.ndarray, copie
 
 
 def _verified(dealt: DataFrame) -> DataFrame:
-    """rep, neighbour, links over all units. Rows of a unit stand together in one partition, those of one class side by side."""
+    """node, neighbour, links over all units. Rows of a unit stand together in one partition, those of one class side by side."""
     import pyarrow as pa
 
-    schema = pa.schema([("rep", pa.int64()), ("neighbour", pa.int64()), ("links", pa.int64())])
+    schema = pa.schema([("node", pa.int64()), ("neighbour", pa.int64()), ("links", pa.int64())])
 
     def run(batches):
         unit, rows, out = None, [], []
 
         def done():
             if len(rows) > 1:
-                reps, side, copies, keys, sets = zip(*rows)
-                found = verify_unit(unit[1], unit[2] != unit[3], np.array(reps), np.array(side), np.array(copies), keys, sets)
-                out.extend(found)
+                node, side, copies, keys, sets = zip(*rows)
+                out.extend(verify_unit(unit[1], unit[2] != unit[3], np.array(node), np.array(side), np.array(copies), keys, sets))
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("key", "band", "i", "j", "rep", "side", "copies", "bands", "text")]
+            columns = [batch.column(c) for c in ("key", "band", "i", "j", "node", "side", "copies", "keys", "text")]
             for at in range(batch.num_rows):
                 v = [c[at].as_py() for c in columns]
                 if tuple(v[:4]) != unit:
@@ -222,35 +262,46 @@ def _verified(dealt: DataFrame) -> DataFrame:
         done()
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
+        rows.clear()
+        give_back()
 
-    return dealt.mapInArrow(run, "rep long, neighbour long, links long")
+    small_batches(dealt)
+    return dealt.mapInArrow(run, "node long, neighbour long, links long")
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """node, component (its smallest node) for every node of the edges (a, b).
 
     Large-star and small-star operations alternate until nothing changes. Each is an aggregation of the
-    smallest neighbour and a join back, which split over tasks at nodes with very many edges, too.
+    smallest neighbour and a join back. Nodes with very many edges, of which there can't be more than HUBS,
+    meet their smallest neighbour by a broadcast, so that their edges stay where they are.
     """
 
-    def smallest(pairs: DataFrame) -> DataFrame:
-        """u, v, m: each pair with the smallest of u and its v."""
-        low = pairs.groupBy("u").agg(F.min("v").alias("low"))
-        return pairs.join(low, "u").select("u", "v", F.least("u", "low").alias("m"))
+    def smallest(pairs: DataFrame, hub: int = 0) -> DataFrame:
+        """u, v, m: each pair with the smallest of u and its v. Nodes of more than ``hub`` pairs are hubs, if that is set."""
+        low = pairs.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("n"))
+        if hub:
+            hubs = F.broadcast(low.where(F.col("n") > hub).select("u", "low"))
+            rest = pairs.join(hubs.select("u"), "u", "left_anti").join(low.where(F.col("n") <= hub).select("u", "low"), "u")
+            return pairs.join(hubs, "u").unionByName(rest).select("u", "v", F.least("u", "low").alias("m"))
+        return pairs.join(low.select("u", "low"), "u").select("u", "v", F.least("u", "low").alias("m"))
 
     def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u"))).first())
+        """Number and hashes of the edges, and the most that meet in their smaller node; in their larger node few ever do."""
+        by = e.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.xxhash64("v", "u")).alias("y"))
+        return tuple(by.agg(F.sum("n"), F.bit_xor("x"), F.bit_xor("y"), F.max("n")).first())
 
     now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
     was = mark(now)
     for _ in range(max_rounds):
         if not was[0]:
             break
+        hub = max(HUB, 3 * was[0] // HUBS)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = smallest(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = smallest(both, hub if was[3] > hub else 0).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = smallest(large)
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        after = materialize(small.where("u > v").distinct(), "edges")
+        after = materialize(small.where("u > v").distinct().coalesce(1 + was[0] // EDGES), "edges")
         discard(now)
         now, is_ = after, mark(after)
         if is_ == was:
@@ -262,6 +313,37 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select("node", F.col("node").alias("component")))
 
 
+def linked_classes(signed: DataFrame, texts: Column) -> DataFrame:
+    """The classes of the rows of ``signatures``: class_key, rep, times, copies, links and whether it is the ``leader`` of its group,
+    and class_id, the leader's rep. ``texts`` picks the text of a row."""
+    known = signed.where(F.col("doc_id").isNotNull())
+    classes = numbered_classes(known)
+    met = materialize(buckets(classes.where(F.col("bands").isNotNull())), "buckets")
+    members = gathered(met, classes)
+    discard(met)
+    keys = F.when(F.col("band") < 0, F.col("bands")).otherwise(F.slice("bands", F.lit(1), F.greatest("band", F.lit(0))))
+    dealt = units(members.join(classes.select("node", "class_key", "rep", "copies", "bands"), "node").withColumn("keys", keys).drop("bands"))
+    # Most texts are in no group; a table of hashes that can't outgrow FILTER rows keeps them out of the exchange.
+    slot = F.pmod(F.xxhash64("class_key"), F.lit(FILTER)).cast("int").alias("slot")
+    wanted = members.select("node").distinct().join(classes.select("node", "class_key"), "node").select(slot).distinct()
+    texts = known.select("class_key", F.col("doc_id").alias("rep"), texts.alias("text"), slot).join(F.broadcast(wanted), "slot", "left_semi").drop("slot")
+    dealt = dealt.join(texts, ["class_key", "rep"]).drop("class_key", "rep").repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "node")
+    verified = materialize(_verified(dealt), "links")
+    discard(members)
+
+    linked = verified.groupBy("node").agg(F.sum("links").alias("links"))
+    groups = connected_components(verified.select(F.col("node").alias("a"), F.col("neighbour").alias("b")).where("a <> b"))
+    leaders = groups.select("component").distinct().join(classes.select(F.col("node").alias("component"), F.col("rep").alias("class_id")), "component")
+    grouped = groups.join(leaders, "component")
+    found = classes.drop("bands", "n_shingles").join(linked, "node", "left").join(grouped, "node", "left")
+    leads = (F.col("component").isNull() | (F.col("component") == F.col("node"))).alias("leader")
+    links = (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links")
+    done = materialize(found.select("class_key", "rep", "times", "copies", links, leads, F.coalesce("class_id", "rep").alias("class_id")), "linked-classes")
+    for used in (classes, verified, groups):
+        discard(used)
+    return done
+
+
 def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", recall: float = RECALL) -> DataFrame:
     """One row per row of ``docs``: doc_id, class_id, text_class, copies, n_links.
 
@@ -269,34 +351,14 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rec
     this one's, those with an equal set among them. ``class_id``: the smallest doc_id that such links
     reach. ``text_class`` and ``copies``: the smallest doc_id with an equal set, and how many rows have
     it. Texts of fewer than five words are one shingle; texts without words, null or not, are equal to
-    each other. Rows with a null doc_id take no part: they get null classes and 0 links. Repeated rows
-    count each for itself. No rows in, no rows out. ``doc_id`` must be an integer.
+    each other. Very long texts are read whole. Rows with a null doc_id take no part: they get null
+    classes and 0 links. Repeated rows count each for itself, and so do different texts with one
+    doc_id. No rows in, no rows out. ``doc_id`` must be an integer; other columns are dropped, whatever their names.
     """
-    bands, rows = choose_bands(THRESHOLD, recall)
-    signed = materialize(signatures(docs, bands, rows, text, doc_id).withColumn("doc_id", F.col("doc_id").cast("long")), "signatures")
+    signed = materialize(signatures(docs, [text], *choose_bands(THRESHOLD, recall), text, doc_id), "signatures")
+    per_class = linked_classes(signed, F.col("row")[text])
     known = signed.where(F.col("doc_id").isNotNull())
-    classes = known.groupBy("class_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-    classes = materialize(classes, "classes")
-    firsts = known.select(F.col("doc_id").alias("rep"), "bands").join(classes.select("rep", "copies"), "rep").where(F.col("bands").isNotNull())
-    firsts = materialize(firsts.dropDuplicates(["rep"]), "representatives")
-
-    met = materialize(buckets(firsts), "buckets")
-    members = materialize(gathered(met), "groups")
-    discard(met)
-    dealt = units(members.join(firsts, "rep").select("key", F.when(F.col("band") > 0, F.slice("bands", F.lit(1), F.col("band"))).alias("bands"), "band", "n", "copies", "rep"))
-    texts = docs.select(F.col(doc_id).cast("long").alias("rep"), F.col(text).alias("text")).where(F.col("rep").isNotNull())
-    # Most texts are in no group; a table of hashes that can't outgrow FILTER rows keeps them out of the exchange.
-    slot = F.pmod(F.xxhash64("rep"), F.lit(FILTER)).cast("int").alias("slot")
-    texts = texts.select("*", slot).join(F.broadcast(members.select(slot).distinct()), "slot", "left_semi").drop("slot")
-    dealt = dealt.join(texts, "rep").repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "rep")
-    verified = materialize(_verified(dealt), "links")
-    discard(members)
-
-    linked = verified.groupBy("rep").agg(F.sum("links").alias("links"))
-    groups = connected_components(verified.select(F.col("rep").alias("a"), F.col("neighbour").alias("b")).where("a <> b"))
-    per_class = classes.join(linked, "rep", "left").join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-    per_class = per_class.select("class_key", "rep", "copies", F.coalesce("component", "rep").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"))
-    found = known.select("doc_id", "class_key").join(per_class, "class_key").select("doc_id", F.col("component").alias("class_id"), F.col("rep").alias("text_class"), "copies", F.col("links").alias("n_links"))
+    found = known.select("doc_id", "class_key").join(per_class, "class_key").select("doc_id", "class_id", F.col("rep").alias("text_class"), "copies", F.col("links").alias("n_links"))
     none = F.lit(None).cast("long")
     lost = signed.where(F.col("doc_id").isNull()).select("doc_id", none.alias("class_id"), none.alias("text_class"), F.lit(1).cast("long").alias("copies"), F.lit(0).cast("long").alias("n_links"))
     return found.unionByName(lost)
@@ -305,11 +367,13 @@ def near_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rec
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group the row with the smallest doc_id stays, once.
 
-    Rows with a null doc_id stay.
+    Rows with a null doc_id stay. Where a text repeats under its smallest doc_id, the row that comes first by its
+    source, language and text stays. Different texts with one doc_id are documents of their own. All columns stay, whatever their names.
     """
-    kept = near_copies(docs).where(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").cast(dict(docs.dtypes)["doc_id"]).alias("doc_id")).distinct()
-    nth = free_name(docs, "nth")
-    known = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    order: list[Column] = [F.col(c).asc_nulls_last() for c, kind in docs.dtypes if c in ("source", "lang", "text")] or [F.col("doc_id")]
-    once = known.withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where(F.col(nth) == 1).drop(nth)
-    return once.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    signed = materialize(signatures(docs, docs.columns, *choose_bands()), "signed-rows")
+    leaders = linked_classes(signed, F.col("row")["text"]).where("leader").select("class_key", F.col("rep").alias("doc_id"), "times")
+    known = signed.where(F.col("doc_id").isNotNull()).select("class_key", "doc_id", "row")
+    one = known.join(leaders.where("times = 1").hint("shuffle_hash"), ["class_key", "doc_id"]).select("row")
+    order = [F.col("row")[c] for c in ("source", "lang", "text") if c in docs.columns]
+    again = known.join(leaders.where("times > 1").hint("shuffle_hash"), ["class_key", "doc_id"]).groupBy("class_key", "doc_id").agg(F.min_by("row", F.struct(*order)).alias("row")).select("row")
+    return one.unionByName(again).unionByName(signed.where(F.col("doc_id").isNull()).select("row")).select(*[F.col("row")[c].alias(c) for c in docs.columns])

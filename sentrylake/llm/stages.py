@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import mixing, ngram_join, pieces, quality, toxicity
-from .common import filter_texts, map_texts
+from .common import discard, filter_texts, map_texts
 from .queries import THRESHOLD, piece_model, table
 
 

@@ -25,7 +25,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, map_texts, materialize
+from .common import free_name, give_back, map_texts, materialize, small_batches
 from .labelled import class_counts, copy_bands, sample_labels, with_texts, without_copies
 
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
@@ -69,7 +69,10 @@ def document_frequencies(docs: DataFrame) -> DataFrame:
                     yield make()
                     held.clear()
         yield make()
+        held.clear()
+        give_back()
 
+    small_batches(docs)
     return docs.select("text").mapInArrow(run, "term string, df long").groupBy("term").agg(F.sum("df").alias("df"))
 
 

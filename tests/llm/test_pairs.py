@@ -61,11 +61,12 @@ def found(df):
     return {r["doc_id"]: (r["class_id"], r["n_links"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("group, block", [(4096, 512), (4, 3), (4096, 2)])
-def test_join_equals_all_pairs(spark, monkeypatch, group, block):
-    monkeypatch.setattr(ngram_join, "GROUP", group)
-    monkeypatch.setattr(ngram_join.units, "__defaults__", (block,))
-    rows = corpus(group + block)
+@pytest.mark.parametrize("blocks, block, shingles, hub", [(8, 512, 1 << 20, 256), (1, 3, 1 << 20, 2), (2048, 2, 1 << 20, 256), (8, 512, 150, 3), (0, 512, 1 << 20, 256)])
+def test_join_equals_all_pairs(spark, monkeypatch, blocks, block, shingles, hub):
+    """Whether classes travel as groups or as buckets, in few blocks or many, the links are the same."""
+    for name, value in {"BLOCKS": blocks, "BLOCK": block, "SHINGLES": shingles, "HUB": hub}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    rows = corpus(blocks + block)
     docs = spark.createDataFrame(rows, "doc_id int, text string").withColumn("bands", F.lit("clash")).withColumn("rep", F.lit(1))
     assert found(ngram_join.near_copies(docs)) == brute(rows)
 
@@ -88,6 +89,24 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for c, _ in brute(rows).values()})
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark):
+    r = random.Random(8)
+    a, b = text_of(r, 60), text_of(r, 60)
+    rows = [(1, a), (1, b), (2, changed(r, a, 1)), (3, changed(r, b, 1)), (3, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((x["doc_id"], x["class_id"], x["n_links"]) for x in ngram_join.near_copies(docs).collect()) == [(1, 1, 1), (1, 1, 2), (2, 1, 1), (3, 1, 2), (3, 1, 2)]
+    assert sorted((x["doc_id"], x["text"]) for x in ngram_join.keep_one(docs).collect()) == sorted([(1, a), (1, b)])
+
+
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    r = random.Random(9)
+    text = text_of(r, 400) + " é ß_9 " + "x" * 300 + "..." + text_of(r, 200)
+    whole = ngram_join.shingle_set(text)
+    for size in (1, 7, 100, 250):
+        monkeypatch.setattr(ngram_join, "PIECE", size)
+        assert list(ngram_join.shingle_set(text)) == list(whole)
+
+
 def test_bands_reach_the_recall():
     for recall in (0.9, 0.99, 0.9999):
         bands, rows = ngram_join.choose_bands(0.8, recall)
