@@ -17,10 +17,14 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import free_name, materialize
+from .common import discard, free_name, materialize
 
 #: Rows of one source that share a hash prefix, and copies that share a range of finish times, on average.
 ROWS_PER_PIECE = 4096
+#: Sources whose last places are broadcast at most: some 150 bytes each.
+SOURCES = 100_000
+#: Ranges of finish times that are summed together first.
+RANGES_PER_STRETCH = 4096
 
 
 def word_count(text: Column) -> Column:
@@ -50,6 +54,11 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, max
     return ranked.select("source", "source_size", F.when(F.col("capped"), F.col("cap").cast("double")).otherwise(F.col("weight") * level).alias("target"))
 
 
+def _spot(seed: int) -> Column:
+    """Where a document stands in the shuffled order of its source; documents of one spot follow by id and size."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+
+
 def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, max_repeat: int = 2, seed: int = 0) -> DataFrame:
     """Decides how often the mix takes each row of ``rows`` (``doc_id``, ``source``, ``size``).
 
@@ -57,8 +66,8 @@ def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     as 0, a null source is a source of its own, null ids are ordered like any other; a source without
     words has target 0 and none is taken. Repeated rows are taken each for itself. No rows in, no rows out.
     """
-    at = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = materialize(rows.select("doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), at.alias("at")), "mix-sizes")
+    at = _spot(seed)
+    sized = rows = materialize(rows.select("doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), at.alias("at")), "mix-sizes")
     total = rows.count()
     digits = max(0, math.ceil(math.log(max(1, total / ROWS_PER_PIECE), 16)))
     piece = F.substring("at", 1, digits) if digits else F.lit("")
@@ -73,6 +82,7 @@ def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
     timed = timed.select("doc_id", "source", "size", "at", (F.col("before") + F.col("within")).alias("upto"))
     targets = targets.withColumnRenamed("source", "t")
     timed = materialize(timed.join(targets, F.col("source").eqNullSafe(F.col("t"))).drop("t"), "mix-times")
+    discard(sized)
 
     def finish(epoch: Column) -> Column:
         return F.try_divide(F.col("upto") + F.col("source_size") * epoch, F.col("target"))
@@ -89,6 +99,17 @@ def _place(finish: Column, epoch: Column) -> Column:
     return F.struct(finish.alias("finish"), F.col("at").alias("at"), F.col("doc_id").alias("doc_id"), F.col("size").alias("size"), epoch.alias("epoch"))
 
 
+def _cut(sums: DataFrame, before: int, budget: float) -> tuple[int, int]:
+    """(what is spent before it, the range in which the budget ends, or the last one) of a bounded number of ranges."""
+    last = before, 0
+    for r in sorted(sums.collect(), key=lambda r: r["range"]):
+        last = before, r["range"]
+        before += r["n"]
+        if before > budget:
+            break
+    return last
+
+
 def _edge(timed: DataFrame, finish, max_repeat: int, total: int) -> Column | None:
     """The last place in the global order that the budget still covers; None if it covers no copy."""
     budget = timed.select("source", "target").groupBy("source").agg(F.max("target").alias("target")).agg(F.sum("target")).first()[0]
@@ -98,30 +119,58 @@ def _edge(timed: DataFrame, finish, max_repeat: int, total: int) -> Column | Non
     epochs = F.explode(F.sequence(F.lit(0), F.lit(max_repeat - 1)))
     copies = timed.select("*", epochs.alias("epoch")).withColumn("finish", finish(F.col("epoch"))).where(F.col("finish").isNotNull())
     copies = copies.withColumn("range", F.least(F.floor(F.col("finish") * pieces), F.lit(2 * pieces)))
-    sums = copies.groupBy("range").agg(F.sum("size").alias("n"))
-    sums = sums.withColumn("upto", F.sum("n").over(Window.orderBy("range")))
-    cut = sums.where(F.col("upto") > budget).orderBy("range").limit(1).collect()
-    if not cut:  # the budget covers all copies
-        cut = sums.orderBy(F.desc("range")).limit(1).collect()
-    spent = cut[0]["upto"] - cut[0]["n"]
-    last = copies.where(F.col("range") == cut[0]["range"]).withColumn("place", _place(F.col("finish"), F.col("epoch")))
+    # The range in which the budget ends is found in stretches of ranges first, so that neither step has many rows.
+    sums = materialize(copies.groupBy("range").agg(F.sum("size").alias("n")), "mix-ranges")
+    stretch = F.floor(F.col("range") / RANGES_PER_STRETCH)
+    before, inside = _cut(sums.groupBy(stretch.alias("range")).agg(F.sum("n").alias("n")), 0, budget)
+    spent, cut = _cut(sums.where(stretch == inside), before, budget)
+    discard(sums)
+    last = copies.where(F.col("range") == cut).withColumn("place", _place(F.col("finish"), F.col("epoch")))
     last = last.withColumn("spent", spent + F.sum("size").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))
     found = last.where(F.col("spent") <= budget).agg(F.max("place").alias("place")).first()["place"]
     if found is None:  # the budget ends before this range's first copy
-        found = copies.where(F.col("range") < cut[0]["range"]).agg(F.max(_place(F.col("finish"), F.col("epoch"))).alias("place")).first()["place"]
+        found = copies.where(F.col("range") < cut).agg(F.max(_place(F.col("finish"), F.col("epoch"))).alias("place")).first()["place"]
     if found is None:
         return None
     kinds = {f.name: f.dataType for f in timed.schema}
     return F.struct(F.lit(found["finish"]).alias("finish"), F.lit(found["at"]).alias("at"), F.lit(found["doc_id"]).cast(kinds["doc_id"]).alias("doc_id"), F.lit(found["size"]).cast("long").alias("size"), F.lit(found["epoch"]).alias("epoch"))
 
 
-def take_mix(docs: DataFrame, decided: DataFrame, size: Column) -> DataFrame:
-    """The rows of ``docs`` as the mix holds them: each row ``copies`` times, in its own columns.
+def take_mix(docs: DataFrame, decided: DataFrame, size: Column, seed: int = 0) -> DataFrame:
+    """The rows of ``docs`` as the mix holds them: each row ``copies`` times, in its own columns, whatever their names.
 
-    Rows that share a doc_id meet their decisions one to one, in the order of source and size.
+    What the mix takes of a source, once or again, is the beginning of its shuffled order. So a row per source with the last
+    places taken is enough to decide, and no text is moved. Rows that share place, id and size with the last one taken and aren't all
+    taken are numbered within the tasks that read them, and the first ones are.
     """
-    nth, n, wanted = (free_name(docs, x) for x in ("nth", "size", "copies"))
-    left = docs.withColumn(n, size).withColumn(nth, F.row_number().over(Window.partitionBy("doc_id").orderBy("source", n)))
-    right = decided.withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy("source", "size"))).where("copies > 0").select(F.col("doc_id").alias("d"), "k", F.col("copies").alias("c"))
-    joined = left.join(right, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col(nth) == F.col("k"))).withColumn(wanted, F.explode(F.sequence(F.lit(1), F.col("c"))))
-    return joined.select(*[joined[c] for c in docs.columns])
+    row, key, of, task, nth = (free_name(docs, x) for x in ("row", "key", "of", "task", "nth"))
+    times = range(1, 1 + (decided.agg(F.max("copies")).first()[0] or 0))
+    place = F.struct(_spot(seed).alias("at"), F.col("doc_id"), F.col("size").cast("long").alias("size"))
+    each = decided.select(F.col("source").alias("s"), "copies", place.alias("place"))
+    cuts = each.groupBy("s").agg(*[F.max(F.when(F.col("copies") >= k, F.col("place"))).alias(f"cut{k}") for k in times], F.count(F.lit(1)).alias("n"))
+    cuts = materialize(cuts, "mix-cuts")
+    few = cuts.count() <= SOURCES
+    small = F.broadcast(cuts) if few else cuts
+    tied = [F.count_if(F.col("place") == F.col(f"cut{k}")).alias(f"all{k}") for k in times] + [F.count_if((F.col("place") == F.col(f"cut{k}")) & (F.col("copies") >= k)).alias(f"taken{k}") for k in times]
+    ties = each.join(small.withColumnRenamed("s", "t"), F.col("s").eqNullSafe(F.col("t"))).groupBy("s", *[f"cut{k}" for k in times]).agg(*tied, F.count(F.lit(1)).alias("n"))
+    ties = materialize(ties, "mix-ties")
+    discard(cuts)
+    partial = sum(((F.col(f"taken{k}") < F.col(f"all{k}")).cast("int") for k in times), F.lit(0)) > 0
+
+    mine = F.struct(_spot(seed).alias("at"), F.col("doc_id"), F.coalesce(size, F.lit(0)).cast("long").alias("size"))
+    left = docs.select(mine.alias(key), F.col("source").alias(of), F.struct(*[docs[c] for c in docs.columns]).alias(row))
+    left = left.join(F.broadcast(ties) if few else ties, F.col(of).eqNullSafe(F.col("s")))
+    at_edge = lambda k: (F.col(key) == F.col(f"cut{k}")) & (F.col(f"taken{k}") < F.col(f"all{k}"))
+    number = sum((F.when(F.col(key) <= F.col(f"cut{k}"), F.when(at_edge(k), F.coalesce(F.col(nth) <= F.col(f"taken{k}"), F.lit(False)).cast("int")).otherwise(1)).otherwise(0) for k in times), F.lit(0))
+    on_edge = F.coalesce(sum((at_edge(k).cast("int") for k in times), F.lit(0)) > 0, F.lit(False))
+    if ties.where(partial).isEmpty():
+        taken = left.withColumn(nth, F.lit(None).cast("long"))
+    else:
+        held = left.where(on_edge).withColumn(task, F.spark_partition_id())
+        held = held.withColumn(nth, F.row_number().over(Window.partitionBy(of, key, task).orderBy(F.xxhash64(*[F.col(row)[c] for c, kind in docs.dtypes if "map" not in kind]))))
+        counts = held.groupBy(F.col(of).alias("a"), F.col(key).alias("b"), F.col(task).alias("c")).agg(F.count(F.lit(1)).alias("in_task"))
+        starts = counts.withColumn("start", F.sum("in_task").over(Window.partitionBy("a", "b").orderBy("c")) - F.col("in_task"))
+        held = held.join(starts, F.col(of).eqNullSafe(F.col("a")) & (F.col(key) == F.col("b")) & (F.col(task) == F.col("c"))).withColumn(nth, (F.col(nth) + F.col("start")).cast("long"))
+        taken = left.where(~on_edge).withColumn(nth, F.lit(None).cast("long")).unionByName(held.select(*left.columns, nth))
+    taken = taken.select(row, number.alias(of)).where(F.col(of) > 0).select(row, F.explode(F.sequence(F.lit(1), F.col(of))))
+    return taken.select(*[F.col(row)[c].alias(c) for c in docs.columns])
