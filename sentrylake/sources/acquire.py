@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from datetime import UTC, datetime, timedelta
+from itertools import count
 from pathlib import Path
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
@@ -66,28 +67,32 @@ class Fetched:
         return len(self.files)
 
 
+def pages(first: datetime, last: datetime, ask: Callable[[str], dict], pause: Callable[[], None], size: int = PAGE_SIZE) -> Iterator[dict]:
+    """The service's answers for one window, page by page, up to and with the first that is empty or reaches the announced total."""
+    for k in count():
+        if k:
+            pause()
+        page = ask(page_url(first, last, k * size, size))
+        yield page
+        if not page.get("vulnerabilities") or (k + 1) * size >= int(page.get("totalResults", 0)):
+            return
+
+
 def fetch_pages(start: datetime, end: datetime, folder: str | Path, api_key: str | None = None, fetch: Fetch = get_json, sleep: Callable[[float], None] = time.sleep, size: int = PAGE_SIZE) -> Fetched:
     """Writes every page of the window that holds records as page_<n>.json, numbered over all windows."""
     target, out = Path(folder), Fetched()
     target.mkdir(parents=True, exist_ok=True)
-    for first, last in windows(start, end):
-        index, total = 0, None
-        while total is None or index < total:
-            if index:
-                sleep(PAUSE_WITH_KEY if api_key else PAUSE)
-            page = persistently(page_url(first, last, index, size), fetch, api_key, sleep=sleep)
+    wait = PAUSE_WITH_KEY if api_key else PAUSE
+    for window in windows(start, end):
+        answers = pages(*window, lambda url: persistently(url, fetch, api_key, sleep=sleep), lambda: sleep(wait), size)
+        for k, page in enumerate(answers):
             out.requests += 1
-            if total is None:
-                total = int(page.get("totalResults", 0))
-                out.total_results += total
-            found = page.get("vulnerabilities") or []
-            if not found:
-                break
-            path = target / f"page_{out.pages:05d}.json"
-            path.write_text(json.dumps(page), encoding="utf-8")
-            out.files.append(str(path))
-            out.records += len(found)
-            index += size
+            out.total_results += 0 if k else int(page.get("totalResults", 0))
+            if held := page.get("vulnerabilities"):
+                path = target / f"page_{out.pages:05d}.json"
+                path.write_text(json.dumps(page), encoding="utf-8")
+                out.files.append(str(path))
+                out.records += len(held)
     return out
 
 
