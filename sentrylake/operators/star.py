@@ -113,17 +113,17 @@ def dim_cwe(cwes: DataFrame, batch_id: str, loaded: datetime) -> DataFrame:
     return _stamped(rows.withColumn("cwe_category", K.cwe_category(F.col("cwe_id"))), S.DIM_CWE, batch_id, loaded)
 
 
-def _bridge(children: DataFrame, key: str, attributes: DataFrame, schema, batch_id: str, loaded: datetime) -> DataFrame:
-    """A row per record and key; children without a known record are left out."""
-    return _stamped(children.select("cve_id", key).distinct().join(attributes, "cve_id"), schema, batch_id, loaded)
+def bridge(children: DataFrame, keys: list[str], attributes: DataFrame) -> DataFrame:
+    """A row per record and key with the record's attributes; children without a known record are left out."""
+    return children.select("cve_id", *keys).distinct().join(attributes, "cve_id")
 
 
 def fact_cve_product(products: DataFrame, attributes: DataFrame, batch_id: str, loaded: datetime) -> DataFrame:
-    return _bridge(vulnerable_products(products), "vendor_product_key", attributes, S.FACT_PRODUCT, batch_id, loaded)
+    return _stamped(bridge(vulnerable_products(products), ["vendor_product_key"], attributes), S.FACT_PRODUCT, batch_id, loaded)
 
 
 def fact_cve_cwe(cwes: DataFrame, attributes: DataFrame, batch_id: str, loaded: datetime) -> DataFrame:
-    return _bridge(keyed_cwes(cwes), "cwe_key", attributes, S.FACT_CWE, batch_id, loaded)
+    return _stamped(bridge(keyed_cwes(cwes), ["cwe_key"], attributes), S.FACT_CWE, batch_id, loaded)
 
 
 def watchlist(facts: DataFrame, dates: DataFrame, severities: DataFrame, cves: DataFrame, as_of: Column | None = None, days: int = 90, score: float = 9.0) -> DataFrame:

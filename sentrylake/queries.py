@@ -310,9 +310,9 @@ def dim_vendor_product(spark, sf_dir):
 
 @query("SELECT cve_id, vendor, product, published_key AS published_date_key, severity_key, listed::INT AS is_exploited, score AS cvss_v3_score FROM bp")
 def fact_cve_product(spark, sf_dir):
-    p = products(spark, sf_dir)
-    b = star.fact_cve_product(p, star.shared_attributes(cves(spark, sf_dir), kev(spark, sf_dir)), RUN, LOADED)
-    return b.join(star.dim_vendor_product(p, RUN, LOADED).select("vendor_product_key", "vendor", "product"), "vendor_product_key").select("cve_id", "vendor", "product", "published_date_key", "severity_key", "is_exploited", "cvss_v3_score")
+    p = star.vulnerable_products(products(spark, sf_dir)).withColumns({c: K.folded(F.col(c)) for c in ("vendor", "product")})
+    attributes = star.shared_attributes(cves(spark, sf_dir), kev(spark, sf_dir))
+    return star.bridge(p, ["vendor_product_key", "vendor", "product"], attributes).select("cve_id", "vendor", "product", "published_date_key", "severity_key", "is_exploited", "cvss_v3_score")
 
 
 @query("SELECT DISTINCT cwe_key, cwe_id, CASE WHEN cwe_key < 0 THEN cwe_id ELSE 'CWE' END AS cwe_category FROM cwe")
