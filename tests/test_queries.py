@@ -4,6 +4,7 @@ import pytest
 from oracle import same
 
 from sentrylake import queries as Q
+from sentrylake import run_queries  # noqa: F401  registers its queries beside the others
 
 
 @pytest.mark.parametrize("name", [n for n in Q.QUERIES if n in Q.ORACLE_SQL])
