@@ -24,7 +24,8 @@ from .queries import _event_log, facts, query, shown, table
 from .sources import acquire, feeds, landing, synthetic
 
 NOW = datetime(2024, 3, 1, 12, tzinfo=UTC)
-PAGES = 3
+#: Records of a page of the service.
+PAGE = 2000
 
 
 def _text(moment: datetime | None) -> str | None:
@@ -32,12 +33,12 @@ def _text(moment: datetime | None) -> str | None:
 
 
 def _write_pages(feed: DataFrame, folder: str) -> None:
-    """The records as PAGES page files, each one JSON document."""
+    """The records as pages of some PAGE records, each a folder page_<n>.json that holds one JSON document."""
+    n = max(1, -(-feed.count() // PAGE))
     record = F.concat(F.lit('{"cve":'), F.col("raw_json"), F.lit("}"))
-    rows = feed.select(F.pmod(F.xxhash64("raw_json"), F.lit(PAGES)).alias("page"), record.alias("record"))
-    pages = rows.groupBy("page").agg(F.concat(F.lit('{"resultsPerPage":2000,"vulnerabilities":['), F.array_join(F.collect_list("record"), ","), F.lit("]}")).alias("value"))
-    for k in range(PAGES):
-        pages.where(F.col("page") == k).select("value").coalesce(1).write.text(f"{folder}/page_{k:05d}.json")
+    rows = feed.select(F.format_string("%05d.json", F.pmod(F.xxhash64("raw_json"), F.lit(n))).alias("page_n"), record.alias("record"))
+    pages = rows.groupBy("page_n").agg(F.concat(F.lit('{"resultsPerPage":2000,"vulnerabilities":['), F.array_join(F.collect_list("record"), ","), F.lit("]}")).alias("value"))
+    pages.write.partitionBy("page_n").text(folder)
 
 
 def _write_catalogs(feed: DataFrame, folder: str) -> None:
