@@ -15,7 +15,8 @@ from . import schemas as S
 from .functions.clock import as_utc, parse_utc
 from .operators import capture, quality
 from .operators import upsert as U
-from .plans import reports, watermark
+from .plans import drills, reports, watermark
+from .plans import setup as plans_setup
 from .plans.params import BronzeRun
 from .plans.run import Warehouse
 from .plans.scratch import scratch_folder
@@ -181,6 +182,32 @@ def warehouse_runs(spark, sf_dir):
     return _values(spark, [*rows, ("gold_mark_moved", int(mark is not None), 0)], "table_name string, rows long, changed_again long")
 
 
+@query("""SELECT * FROM (VALUES ('inserted', '1'), ('updated', '1'), ('quarantined', '2'), ('unknown_keys', 'unheardOf'), ('drill-dateless', 'unparseable_published'), ('drill-nameless', 'missing_cve_id'), ('drill-later', 'CVE'), ('drill-drifted', 'score'), ('real tables changed', '0')) AS t(step, outcome)""", prelude=False)
+def failure_drills(spark, sf_dir):
+    """One record sent again in four altered forms, on copies of the silver tables."""
+    folder = scratch_folder(spark, "drills")
+    ticks = iter(range(10_000))
+    w = Warehouse(spark, f"{folder}/w", clock=lambda: NOW + timedelta(seconds=next(ticks)))
+    _write_pages(synthetic.cve_feed(spark, sf_dir, children=False).where("v = 1 and raw_json not like '%brandNewField%'"), f"{folder}/pages")
+    w.load_cves(BronzeRun("FULL", f"{folder}/pages/page_*.json"))
+    w.refine()
+    before = {n: w.store.version(n) for n in drills.COPIES}
+    done = drills.run(spark, w, NOW)
+    rows = [(k, ",".join(v) if isinstance(v, list) else str(v)) for k, v in done.items()]
+    rows += [(r["batch_id"], r["reason"]) for r in w.table("drill_silver_quarantine").where(F.col("batch_id").startswith("drill")).collect()]
+    for r in w.table("drill_silver_cve").where(F.col("batch_id").startswith("drill")).collect():
+        rows.append((r["batch_id"], r["cve_id"][:3] if r["batch_id"] == drills.LATER else "score" if r["cvss_v3_score"] is not None else "none"))
+    return _values(spark, [*rows, ("real tables changed", str(sum(w.store.version(n) != v for n, v in before.items())))], "step string, outcome string")
+
+
+@query("SELECT * FROM (VALUES ('trial_bronze', true), ('trial_control', true), ('trial_gold', true), ('trial_silver', true)) AS t(database_name, there)", prelude=False)
+def layers_set_up(spark, sf_dir):
+    folder = scratch_folder(spark, "setup")
+    names = plans_setup.set_up(spark, f"{folder}/landing", "trial_")
+    again = plans_setup.set_up(spark, f"{folder}/landing", "trial_")
+    return _values(spark, [(n, n in again and spark.catalog.databaseExists(n)) for n in names], "database_name string, there boolean")
+
+
 # The store.
 @query("""WITH a AS (SELECT o_orderkey AS k, 1 AS last_modified_at, o_custkey AS x FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 2 = 0 THEN 2 ELSE 1 END AS last_modified_at, -1 AS x FROM orders WHERE o_orderkey % 5 = 0),
   u AS (SELECT b.*, a.k IS NULL AS fresh FROM b LEFT JOIN a ON a.k = b.k WHERE a.k IS NULL OR b.last_modified_at > 1)
