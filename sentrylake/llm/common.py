@@ -2,35 +2,10 @@
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
-
-    Only where the session names none (single-machine tests) a temporary folder is made.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named.rstrip("/")
-    known = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if known.isDefined():
-        return known.get().rstrip("/")
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sentrylake-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get().rstrip("/")
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    try:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # noqa: BLE001  the session may have ended; the folder is then the cluster's to clean
-        pass
+from ..plans.scratch import delete, scratch_folder, shared_folder  # noqa: F401  one place for what the library writes aside
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -40,17 +15,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     readers take only the columns they need. The folder is deleted when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/sentrylake-{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    atexit.register(_delete, spark, path)
     return spark.read.schema(schema).parquet(path)
 
 
 def discard(df: DataFrame) -> None:
     """Deletes what ``materialize`` wrote, once nothing reads it any more."""
     for f in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
-        _delete(df.sparkSession, f)
+        delete(df.sparkSession, f)
 
 
 def utf8_size(text: Column) -> Column:

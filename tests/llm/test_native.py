@@ -93,6 +93,16 @@ def test_shards_with_nulls_repeats_and_reruns(spark):
     assert first != other
 
 
+def test_many_copies_of_a_row_spread_over_the_buckets(spark):
+    """Rows that are equal in all columns, and rows that share an id, cost what others cost, and agree on reruns."""
+    rows = spark.range(6000).select(F.lit(5).cast("long").alias("doc_id"), F.when(F.col("id") < 3000, "same").otherwise(F.concat(F.lit("t"), "id")).alias("text"), F.lit(1).alias("times"))
+    first, second = (sorted(map(tuple, sharding.shuffle_into_shards(r, 8, rows_per_bucket=64).collect())) for r in (rows, rows.repartition(7)))
+    assert first == second and len(first) == 6000
+    places = sorted((shard, slot) for _, text, _, shard, slot in first if text == "same")
+    share = [sum(s == k for s, _ in places) for k in range(8)]
+    assert min(share) > 200 and max(share) < 550
+
+
 def test_fisher_yates_is_a_uniform_permutation(spark):
     rows = spark.range(6000).select(sharding.fisher_yates(F.lit(4), F.lit(1), F.col("id")).alias("p")).collect()
     seen = Counter(tuple(r["p"]) for r in rows)
@@ -225,6 +235,19 @@ def test_mixed_rows_keep_their_columns_and_repeats(spark):
     assert out.count() == wanted
 
 
+def test_rows_of_one_place_are_taken_as_often_as_decided(spark):
+    """Many rows with one id and size, of which the budget covers some only: as many come out, from all tasks together."""
+    rows = [(7, f"w{i} x", "a") for i in range(50)] + [(i, "y z", "b") for i in range(100, 140)] + [(None, "p q r", None)] * 9
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    size = mixing.word_count(F.col("text"))
+    decided = mixing.mix_sources(docs.select("doc_id", "source", size.alias("size")))
+    wanted = Counter()
+    for r in decided.collect():
+        wanted[(r["doc_id"], r["source"], r["size"])] += r["copies"]
+    got = Counter((r["doc_id"], r["source"], len(r["text"].split())) for r in mixing.take_mix(docs, decided, size).collect())
+    assert got == +wanted and 50 < got[(7, "a", 2)] < 100
+
+
 def test_word_count(spark):
     for text, n in ((None, 0), ("", 0), (" \t\n\x0b\x0c\r", 0), ("a b c", 2), ("x" * 100_000, 1)):
         assert spark.createDataFrame([(text,)], "t string").select(mixing.word_count(F.col("t"))).first()[0] == n

@@ -48,7 +48,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, {0
 
 
 @pytest.mark.parametrize("stage", range(5))
-@pytest.mark.parametrize("extra", ["label", "size", "rep", "score"])
+@pytest.mark.parametrize("extra", ["label", "size", "rep", "score", "c", "k", "row", "key"])
 def test_stages_take_odd_rows_and_clashing_columns(spark, sf_dir, stage, extra):
     name, function = corpus_pipeline.STAGES[stage]
     docs = spark.createDataFrame(ODD, SCHEMA.format(extra))
