@@ -3,7 +3,7 @@
 A text's UTF-8 bytes are cut into overlapping chunks that cover all of it. Each byte has a learned vector;
 learned filters run over the chunk, and each keeps its largest response in the chunk. A hidden
 layer reads these; its values' mean, maximum and minimum over all chunks of the document make one
-probability. Training is plain back-propagation with Adam on a bounded sample of labelled rows.
+probability. Training is plain back-propagation with Adam on the whole texts of a bounded sample of labelled rows.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from .labelled import class_counts, copy_bands, sample_labels, with_texts, witho
 
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
 HELD_OUT = (5, 0)
-#: Labelled rows of each class at most, and chunks of each that training looks at (drawn over the whole text).
-EXAMPLES, CHUNKS = 1500, 12
+#: Labelled rows of each class at most, and chunks that are worked on at once, which bounds memory whatever a text's length.
+EXAMPLES, AT_ONCE = 1500, 32
 #: Bytes of a chunk and from one chunk's start to the next's; of a filter and from one place to the next.
 CHUNK, STEP, WIDTH, STRIDE = 256, 224, 8, 2
 #: Sizes of a byte's vector, of the filters and of the hidden layer; rounds of training; documents of one step.
@@ -66,10 +66,10 @@ class QualityModel:
         """Each filter's largest response in each chunk."""
         w = self.weights
         out = np.empty((len(x), FILTERS), np.float32)
-        for at in range(0, len(x), 32):  # small enough for the processor's cache
-            win = self.windows(x[at : at + 32])
+        for at in range(0, len(x), AT_ONCE):  # small enough for the processor's cache
+            win = self.windows(x[at : at + AT_ONCE])
             response = win.reshape(-1, WIDTH * VECTOR) @ w["filters"]
-            out[at : at + 32] = response.reshape(len(win), -1, FILTERS).max(1)
+            out[at : at + AT_ONCE] = response.reshape(len(win), -1, FILTERS).max(1)
         return np.maximum(out + w["filters_b"], 0)
 
     def chance(self, h: np.ndarray) -> float:
@@ -86,11 +86,14 @@ class QualityModel:
 
     def gradients(self, x: np.ndarray, doc: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         """Of the mean loss over the documents; ``doc`` gives each chunk's document, ascending."""
-        w, n_docs, each = self.weights, len(y), np.arange(len(x))
-        win = self.windows(x)
-        response = np.matmul(win, w["filters"])
-        top = response.argmax(1)  # chunks x filters
-        raw = np.take_along_axis(response, top[:, None], 1)[:, 0] + w["filters_b"]
+        w, n_docs = self.weights, len(y)
+        top, raw = np.empty((len(x), FILTERS), np.int64), np.empty((len(x), FILTERS), w["filters"].dtype)
+        for at in range(0, len(x), AT_ONCE):
+            some = slice(at, at + AT_ONCE)
+            win = self.windows(x[some])
+            response = (win.reshape(-1, WIDTH * VECTOR) @ w["filters"]).reshape(len(win), -1, FILTERS)
+            top[some] = response.argmax(1)
+            raw[some] = np.take_along_axis(response, top[some][:, None], 1)[:, 0] + w["filters_b"]
         p = np.maximum(raw, 0)
         h = np.tanh(p @ w["hidden"] + w["hidden_b"])
         first = np.searchsorted(doc, np.arange(n_docs))
@@ -107,18 +110,20 @@ class QualityModel:
         g["hidden"], g["hidden_b"] = p.T @ dh, dh.sum(0)
         dp = (dh @ w["hidden"].T) * (raw > 0)
         g["filters_b"] = dp.sum(0)
-        g["filters"] = np.empty_like(w["filters"])
-        g["bytes"] = np.zeros_like(w["bytes"])
-        for k in range(FILTERS):  # only the window with the largest response learns
-            at = top[:, k]
-            g["filters"][:, k] = win[each, at].T @ dp[:, k]
-            seen = x[each[:, None], at[:, None] * STRIDE + np.arange(WIDTH)]
-            np.add.at(g["bytes"], seen.ravel(), (dp[:, k, None] * w["filters"][:, k]).reshape(-1, VECTOR))
+        g["filters"] = np.zeros_like(w["filters"])
+        by_byte = np.zeros((FILTERS, WIDTH, 257))
+        for at in range(0, len(x), AT_ONCE):  # only the window with the largest response learns
+            part, steep = x[at : at + AT_ONCE], dp[at : at + AT_ONCE]
+            seen = part[np.arange(len(part))[:, None, None], top[at : at + AT_ONCE, :, None] * STRIDE + np.arange(WIDTH)]  # chunks x filters x bytes
+            g["filters"] += np.einsum("cfv,cf->vf", w["bytes"][seen].reshape(len(part), FILTERS, -1), steep, optimize=True)
+            where = np.arange(FILTERS * WIDTH).reshape(FILTERS, WIDTH) * 257 + seen
+            by_byte += np.bincount(where.ravel(), np.repeat(steep.ravel(), WIDTH), by_byte.size).reshape(by_byte.shape)
+        g["bytes"] = np.einsum("fwb,wvf->bv", by_byte, w["filters"].reshape(WIDTH, VECTOR, FILTERS), optimize=True).astype(w["bytes"].dtype)
         return g
 
     @classmethod
-    def fit(cls, examples: list[tuple[int, int, list[bytes]]], rows: dict[int, int], seed: int = 0) -> QualityModel:
-        """examples: (doc_id, label, chunks) in any order; rows: labelled rows of each class in all, for the base rate.
+    def fit(cls, examples: list[tuple[int, int, bytes]], rows: dict[int, int], seed: int = 0) -> QualityModel:
+        """examples: (doc_id, label, text) in any order; rows: labelled rows of each class in all, for the base rate.
 
         Without examples of both classes every score is near the base rate.
         """
@@ -130,7 +135,7 @@ class QualityModel:
             model.weights["out"][:] = 0
             model.shift = float(base)
             return model
-        data = [(np.concatenate([chunks(c)[:1] for c in e[2]]), e[1]) for e in examples]
+        data = [(chunks(e[2]), e[1]) for e in examples]
         r = np.random.RandomState(seed + 1)
         by_class = [[i for i, e in enumerate(data) if e[1] == y] for y in (0, 1)]
         first = {k: np.zeros_like(v) for k, v in model.weights.items()}
@@ -162,29 +167,26 @@ class QualityModel:
         return model
 
 
-def spread_chunks(text: str | None) -> list[bytes]:
-    """At most CHUNKS of a text's chunks, evenly over the whole of it: what training sees of a row."""
-    data = (text or "").encode()
-    n = max(1, 1 + -(-(len(data) - CHUNK) // STEP)) if len(data) > CHUNK else 1
-    picked = sorted({int(i) for i in np.linspace(0, n - 1, min(n, CHUNKS))})
-    return [data[i * STEP : i * STEP + CHUNK] for i in picked]
-
-
 def fit_model(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """Learns from EXAMPLES labelled rows of each class at most, CHUNKS chunks of each; copies among them count once."""
+    """Learns from the whole texts of EXAMPLES labelled rows of each class at most; copies among them count once.
+
+    Of several texts with one id the first in code-point order is read; ids without a text count as empty texts. Without
+    labels of both classes every score is near the base rate, without any labels it is 0.5.
+    """
     rows = class_counts(labels, "quality", *HELD_OUT)
     sample = with_texts(sample_labels(labels, "quality", *HELD_OUT, EXAMPLES), docs)
-
-    def make():
-        return lambda text: (copy_bands(text), spread_chunks(text))
-
-    seen = map_texts(sample.select("doc_id", "label", "text"), ["doc_id", "label"], make, "bands array<long>, chunks array<binary>").collect()
-    kept = without_copies([(r["doc_id"], r["label"], list(r["bands"])) for r in seen])
-    return QualityModel.fit([(r["doc_id"], r["label"], [bytes(c) for c in r["chunks"]]) for r in seen if r["doc_id"] in kept], rows)
+    seen = map_texts(sample.select("doc_id", "label", "text", F.col("text").alias("of")), ["doc_id", "label", "text"], lambda: lambda text: (copy_bands(text),), "bands array<long>").toArrow().to_pylist()
+    kept = without_copies([(r["doc_id"], r["label"], r["bands"]) for r in seen])
+    return QualityModel.fit([(r["doc_id"], r["label"], (r["text"] or "").encode()) for r in seen if r["doc_id"] in kept], rows)
 
 
 def score_texts(df: DataFrame, keep: list[str], model: QualityModel) -> DataFrame:
-    """``keep``, then the score of each row's ``text``."""
+    """``keep``, then the score of each row's ``text``.
+
+    Null texts count as empty, and those are one chunk without bytes. Texts are read whole, whatever their length. Repeated
+    rows come out repeated, equal texts with equal scores. An empty frame gives no rows. Columns that are not in ``keep`` are
+    dropped, whatever their names.
+    """
 
     def make():
         return lambda text: (model.score(text),)

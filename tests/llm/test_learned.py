@@ -178,6 +178,41 @@ def test_chunks_cover_the_whole_text():
         assert list(flat[:n] - 1) == list(data) and not flat[n:].any()
 
 
+def plain_score(model, text):
+    """Each filter at each place of each chunk, one multiplication at a time."""
+    w, data = model.weights, (text or "").encode()
+    starts = range(0, max(1, len(data) - quality.CHUNK + quality.STEP), quality.STEP) if len(data) > quality.CHUNK else [0]
+    hidden = []
+    for start in starts:
+        values = [b + 1 for b in data[start : start + quality.CHUNK]]
+        values += [0] * (quality.CHUNK - len(values))
+        best = []
+        for f in range(quality.FILTERS):
+            top = -math.inf
+            for at in range(0, quality.CHUNK - quality.WIDTH + 1, quality.STRIDE):
+                total = 0.0
+                for i in range(quality.WIDTH):
+                    vector = w["bytes"][values[at + i]]
+                    total += sum(float(vector[v]) * float(w["filters"][i * quality.VECTOR + v, f]) for v in range(quality.VECTOR))
+                top = max(top, total)
+            best.append(max(0.0, top + float(w["filters_b"][f])))
+        hidden.append([math.tanh(sum(p * float(w["hidden"][f, h]) for f, p in enumerate(best)) + float(w["hidden_b"][h])) for h in range(quality.HIDDEN)])
+    columns = list(zip(*hidden))
+    features = [sum(c) / len(c) for c in columns] + [max(c) for c in columns] + [min(c) for c in columns]
+    z = sum(x * float(o) for x, o in zip(features, w["out"][:, 0])) + float(w["out_b"][0]) + model.shift
+    return 1 / (1 + math.exp(-z))
+
+
+def test_scores_equal_a_plain_forward_pass(monkeypatch):
+    monkeypatch.setattr(quality, "FILTERS", 5)
+    monkeypatch.setattr(quality, "HIDDEN", 4)
+    model = quality.QualityModel.fresh(11)
+    model.shift = 0.3
+    r = random.Random(12)
+    for text in (None, "", "a", "é🎉 " * 10, text_of(r, 70), "".join(chr(r.randrange(32, 900)) for _ in range(600))):
+        assert model.score(text) == pytest.approx(plain_score(model, text), abs=1e-5)
+
+
 def test_gradients_equal_differences():
     model = quality.QualityModel.fresh(3)
     model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
