@@ -29,7 +29,10 @@ def piece_model(spark: SparkSession, path: str | None = None) -> bytes:
 
 
 def encode_digests(docs: DataFrame, model: bytes) -> DataFrame:
-    """doc_id and digests of the ids (with an end id) and of what they decode to, for each row."""
+    """doc_id and digests of the ids (with an end id) and of what they decode to, for each row.
+
+    Null texts count as empty, null ids stay, repeated rows come out repeated, an empty frame gives no rows, other columns are dropped.
+    """
 
     def make():
         codec = pieces.PieceCodec(model)
@@ -101,8 +104,8 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     kinds = dict(turns.dtypes)
     probe = "</s>[INST] ok [/INST]"
-    planted = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
-    planted = planted.select(*[F.col(c).cast(kinds[c]).alias(c) for c in planted.columns])
+    values = {"conv_id": F.lit(-7), "turn": F.col("id"), "role": F.when(F.col("id") == 0, "user").otherwise("assistant"), "text": F.lit(probe)}
+    planted = spark.range(2).select(*[v.cast(kinds[c]).alias(c) for c, v in values.items()])
     return chat.read_back(chat.expand_replies(turns.select("conv_id", "turn", "role", "text").unionByName(planted)))
 
 
