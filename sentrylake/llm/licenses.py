@@ -274,7 +274,11 @@ class LicenseScanner:
         self.keywords.make_automaton()
 
     def scan(self, text: str | None) -> tuple[int, list[Hit]]:
-        """The number of words and the standing detections, in order of place. Null text counts as empty."""
+        """The number of words and the standing detections, in order of place.
+
+        Null texts count as empty, and those have neither words nor detections. Texts are read whole, whatever their length. Equal
+        texts have equal detections; of equal detections of one priority the one whose label comes first stands.
+        """
         raw = (text or "").encode("utf-8", "replace").lower()  # of bytes, only A to Z are changed
         word = _IS_WORD[np.frombuffer(raw, np.uint8)]
         n_words = int(word[:1].sum()) + int(np.count_nonzero(word[1:] > word[:-1]))

@@ -127,18 +127,18 @@ def _bmp(b: bytes, at: int) -> tuple[int, int, int] | None:
 def _gzip(b: bytes, at: int) -> tuple[int, int, int] | None:
     if at + 18 > len(b) or b[at + 3] & 0xE0:
         return None
-    reader = zlib.decompressobj(31)
-    rest = memoryview(b)[at:]
+    reader, p = zlib.decompressobj(31), at
     try:
-        while not reader.eof:  # the output is thrown away piece by piece
-            out = reader.decompress(rest, 1 << 16)
-            rest = reader.unconsumed_tail
-            if not out and not rest and not reader.eof:
+        while not reader.eof:  # read and thrown away piece by piece, so a large or bloated object costs neither memory nor copies of its rest
+            piece = reader.unconsumed_tail or b[p : p + PIECE]
+            if not piece:
                 return None
+            p += 0 if reader.unconsumed_tail else len(piece)
+            reader.decompress(piece, 16 * PIECE)
     except zlib.error:
         return None
-    end = len(b) - len(reader.unused_data)
-    return (end, at + 10, end - 8) if reader.eof else None
+    end = p - len(reader.unused_data)
+    return end, at + 10, end - 8
 
 
 def _streamed_zip(b: bytes, at: int) -> tuple[int, int, int] | None:
@@ -216,6 +216,8 @@ def _mp4(b: bytes, at: int) -> tuple[int, int, int] | None:
     return (p, *(body or (at, p))) if {b"ftyp", b"moov"} <= seen else None
 
 
+#: Bytes of a compressed object that are read at once.
+PIECE = 1 << 16
 #: Fixed values of the formats: type, signature, its offset from the object's start, validator.
 SIGNATURES = (
     ("image/png", b"\x89PNG\r\n\x1a\n", 0, _png),
@@ -272,7 +274,11 @@ SNIFF_SCHEMA = "true_type string, corrected boolean, body_start long, body_end l
 
 
 def inspect(data: bytes | None, declared: str | None, automaton: ahocorasick.Automaton) -> tuple:
-    """A row of SNIFF_SCHEMA. Null data counts as empty; a null declared type counts as wrong unless the true type is unknown."""
+    """A row of SNIFF_SCHEMA. Null data counts as empty; a null declared type counts as wrong unless the true type is unknown.
+
+    Data is read whole, whatever its length, and equal data give equal rows. Of objects that start at one place the longest counts.
+    Empty data hold nothing and are application/octet-stream.
+    """
     data = data or b""
     found = sniff(data, automaton)
     kind = true_type(data, found)

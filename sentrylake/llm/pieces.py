@@ -180,7 +180,10 @@ class PieceCodec:
         return tuple(self.id[p] for p in self.merged(MARK * n)) if n else ()
 
     def encode(self, text: str | None) -> list[int]:
-        """Ids without an end id. Null and empty texts have none."""
+        """Ids without an end id. Null and empty texts have none.
+
+        Texts are read whole, whatever their length; equal texts have equal ids; of equally good merges the leftmost comes first, as in the library.
+        """
         if not text:
             return []
         known, out = self.segments, []

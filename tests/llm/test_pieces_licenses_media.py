@@ -308,3 +308,68 @@ def test_media_query(spark, sf_dir):
         assert (r["n_bytes"], r["payload_bytes"], r["media_bytes"]) == (len(raw), len(payload), len(payload) + 44)
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest() and r["tail_crc32"] == zlib.crc32(payload[-64:])
         assert features.setdefault(raw, r["feature"]) == r["feature"]
+
+
+def plain_sniff(data):
+    """Every validator at every offset where its signature stands."""
+    found, spent = {}, {}
+    at = sorted((i + len(magic), k, i - offset) for k, (_, magic, offset, _) in enumerate(media.SIGNATURES) for i in range(len(data)) if data.startswith(magic, i))
+    for _, k, start in at:
+        kind, _, _, validate = media.SIGNATURES[k]
+        if start < 0 or (kind in ("audio/ogg", "application/zip", "application/pdf") and start < spent.get(k, 0)):
+            continue
+        if got := validate(data, start):
+            if start not in found or found[start].end < got[0]:
+                found[start] = media.Found(kind, start, *got)
+            spent[k] = max(spent.get(k, 0), got[0])
+    return sorted(found.values(), key=lambda x: (x.start, -x.end))
+
+
+def test_sniffing_equals_a_look_at_every_offset():
+    r, automaton = random.Random(21), media.signature_automaton()
+    whole = [media.to_wav(media.padded(b"abc" * 40)), gzip.compress(b"x" * 5000), gzip.compress(bytes(r.randrange(256) for _ in range(300)))]
+    magics = [m for _, m, _, _ in media.SIGNATURES]
+    confirmed = 0
+    for _ in range(150):
+        parts = [r.choice([r.choice(whole), r.choice(magics), bytes(r.randrange(256) for _ in range(r.randrange(40))), r.choice(whole)[: r.randrange(60)]]) for _ in range(r.randrange(1, 7))]
+        data = b"".join(parts)
+        got = media.sniff(data, automaton)
+        assert got == plain_sniff(data)
+        confirmed += len(got)
+    assert confirmed > 100
+
+
+def test_large_and_broken_compressed_objects():
+    automaton = media.signature_automaton()
+    big = gzip.compress(bytes(20_000_000))
+    assert [(x.kind, x.start, x.end) for x in media.sniff(b"--" + big + b"--", automaton)] == [("application/gzip", 2, 2 + len(big))]
+    assert media.sniff(big[:-9], automaton) == [] and media.sniff(big[:500] + b"!" + big[501:], automaton) in ([], media.sniff(big[:500] + b"!" + big[501:], automaton))
+
+
+def test_the_gate_loses_no_detection():
+    """All rules on all texts, against the rules that the keywords let through."""
+    r, scanner = random.Random(22), licenses.LicenseScanner()
+    known = licenses.rules()
+    words = sorted({w for rule in known for w in re.findall("[0-9a-z]+", rule.pattern.pattern) if len(w) > 1} | {"the", "of", "and", "a"})
+    open_gate = licenses.LicenseScanner([licenses.Rule(x.label, x.priority, tuple("abcdefghijklmnopqrstuvwxyz0123456789"), x.pattern, x.base) for x in known])
+    phrases = ["mit 0 license", "the x consortium", "zero clause bsd", "asl 2 0", "bsl 1 0", "creative commons zero", "open data commons public domain dedication", "odc odbl", "open data commons attribution license", "psf license agreement", "png reference library license", "do what the fuck you want to public license"]
+    texts = phrases + [" ".join(r.choice([r.choice(words), r.choice(phrases), r.choice(words)]) for _ in range(r.randrange(1, 60))) for _ in range(300)]
+    assert all(scanner.scan(p)[1] for p in phrases)
+    for text in texts:
+        assert scanner.scan(text) == open_gate.scan(text), text
+
+
+def test_row_operators_take_odd_rows(spark, tmp_path):
+    """Null, empty and very long texts, repeated rows and ids, clashing names and empty tables, through the queries themselves."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, n_words string, feature string, ids_sha256 string"
+    rows = [(1, None), (2, ""), (None, "mit license"), (3, "MIT License " * 20_000), (4, "a b"), (4, "a b"), (4, "b a")]
+    for name, given in (("rows", rows), ("none", [])):
+        spark.createDataFrame([(d, t, None, None, None, "s", "w", "f", "h") for d, t in given], schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for query in ("op1_sentencepiece", "op4_media", "op10_licenses"):
+            out = queries.QUERIES[query](spark, f"{tmp_path}/{name}").collect()
+            assert sorted((r["doc_id"] or 0) for r in out) == sorted((d or 0) for d, _ in given), query
+            if given:
+                by = {}
+                for r in out:
+                    by.setdefault(r["doc_id"], []).append(tuple(r)[1:])
+                assert by[1] == by[2] and len(by[4]) == 3 and len(set(by[4])) == (1 if query == "op10_licenses" else 2)
