@@ -7,7 +7,8 @@ lists a query probes: as many as the sample needs for the target recall. Every v
 In each probed list a query's partial distances over blocks of rotated columns are tested against its
 k-th best distance so far: if the whole distance, estimated from the columns seen, would exceed that
 with the test's confidence, the candidate is abandoned. Survivors are scored exactly on the original
-vectors. Lists and their queries are cut into blocks of bounded size, so a hot list is many units of work.
+vectors. Small lists are bundled, so that a query travels once for a bundle; large lists and the queries of a bundle are cut into
+blocks of bounded size, so a hot list is many units of work. A query whose lists hold too few candidates probes further ones.
 
 Equal vectors are one candidate, with the smallest of their ids; equal queries are searched once.
 """
@@ -20,14 +21,16 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import give_back, materialize, small_batches
 
-#: Rows that the centres and the number of probes are fitted to, at most; sampled vectors of a list on average.
-SAMPLE, PER_LIST = 16_384, 32
+#: Rows and bytes that the centres and the number of probes are fitted to, at most; sampled vectors of a list on average.
+SAMPLE, SAMPLE_BYTES, PER_LIST = 65_536, 64 << 20, 32
 #: The share of the sample's own neighbours that the probed lists must hold.
 TARGET_RECALL = 0.97
 #: Rotated columns of a block, and the test's width: the chance of a false abandonment falls as exp(-c * WIDTH^2).
 COLUMNS, TEST_WIDTH = 16, 2.1
+#: Vectors that meet all centres at once.
+NEAREST = 2048
 #: Vectors and queries of one unit of work, candidates taken at a time, queries whose best are held at once.
 UNIT, CHUNK, HELD = 4096, 512, 50_000
 
@@ -64,12 +67,15 @@ class Lists:
     def probes_for(self, x: np.ndarray, sample: np.ndarray, k: int) -> int:
         """The fewest probes that reach the target on the sample; k: neighbours in the sample that stand for all rows'."""
         asked = np.arange(0, len(x), max(1, len(x) // 400))
-        score = sample[asked] @ sample.T
-        score[np.arange(len(asked)), asked] = -np.inf
         k = min(k, len(x) - 1)
         if k < 1:
             return len(self.centres)
-        top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+        top = np.empty((len(asked), k), np.int64)
+        for at in range(0, len(asked), 32):  # a few at a time, as each meets the whole sample
+            some = asked[at : at + 32]
+            score = sample[some] @ sample.T
+            score[np.arange(len(some)), some] = -np.inf
+            top[at : at + 32] = np.argpartition(-score, k - 1, axis=1)[:, :k]
         near = self.nearest(x, self.centres)
         order = self.ranked(self.lengthen_queries(sample[asked]))
         place = np.argsort(order, axis=1)  # list -> its rank for the query
@@ -79,7 +85,9 @@ class Lists:
 
     @staticmethod
     def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-        return np.argmin((centres**2).sum(1) - 2 * x @ centres.T, axis=1)
+        length = (centres**2).sum(1)
+        parts = [np.argmin(length - 2 * x[at : at + NEAREST] @ centres.T, axis=1) for at in range(0, len(x), NEAREST)]
+        return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
     def rotate(self, x: np.ndarray) -> np.ndarray:
         rest = np.sqrt(np.maximum(self.norm**2 - (x * x).sum(1), 0))
@@ -133,10 +141,11 @@ class Best:
         return out
 
 
-def scan(lists: Lists, best: Best, ids: np.ndarray, x: np.ndarray, query_ids: list[int], q: np.ndarray) -> int:
-    """Scans one block of a list for a block of queries; returns how many candidates were scored in full."""
+def scan(lists: Lists, best: Best, ids: np.ndarray, x: np.ndarray, query_ids: list[int], q: np.ndarray, rx: np.ndarray | None = None, rq: np.ndarray | None = None) -> int:
+    """Scans one block of a list for a block of queries; returns how many candidates were scored in full. rx, rq: both rotated, if they are known."""
     rows = best.rows(query_ids)
-    rx, rq = lists.rotate(x).astype(np.float32), lists.lengthen_queries(q).astype(np.float32)
+    rx = lists.rotate(x).astype(np.float32) if rx is None else rx
+    rq = lists.lengthen_queries(q).astype(np.float32) if rq is None else rq
     width, total = rx.shape[1], 0
     edges = list(range(0, width, COLUMNS))[: max(1, width // COLUMNS)] + [width]
     ends = np.array(edges[1:])
@@ -176,9 +185,9 @@ def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
 def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row with ``is_query(vec_id)`` the k rows of largest inner product.
 
-    The query's own row is no candidate; ties go to the smaller id; with fewer candidates all those found
+    The query's own row is no candidate; ties go to the smaller id; with fewer than k candidates in all those found
     are returned. Rows with null ids and vectors that ``usable`` leaves out take no part. Repeated rows
-    count once. No usable rows, no rows out.
+    count once. No usable rows, no rows out. Other columns are dropped, whatever their names.
     """
     known = materialize(usable(vectors, vec_id, embedding), "vectors")
     near = Window.partitionBy("embedding").orderBy("vec_id")
@@ -194,8 +203,10 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
     empty = known.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not stats["n"]:
         return empty
-    sample = classes.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(SAMPLE).collect()
-    lists = Lists.fit(np.array([r["embedding"] for r in sample]), stats["n"], stats["norm"], k)
+    dims = classes.select(F.size("embedding")).first()[0]
+    rows = int(min(SAMPLE, max(1, SAMPLE_BYTES // (8 * dims))))
+    sample = classes.select("rep", "embedding").orderBy(F.xxhash64("rep"), "rep").limit(rows).toArrow()
+    lists = Lists.fit(_matrix(sample.column("embedding").combine_chunks()), stats["n"], stats["norm"], k)
 
     found = materialize(_search_lists(classes, asked.select("asked").distinct(), lists, k + 1), "found")
     best = Window.partitionBy("asked").orderBy(F.desc("score"), "rep")
@@ -208,52 +219,89 @@ def search(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", em
     return each.withColumn("rank", F.row_number().over(of_query)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _matrix(column) -> np.ndarray:
+    """An Arrow column of arrays of one length, as rows of numbers."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def bundles(sizes: dict[int, int], n_lists: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """Each list's bundle, and (bundle, blocks of vectors) of each: neighbours by number share one as long as it holds no more than UNIT vectors."""
+    of, held = np.zeros(n_lists, np.int32), [0]
+    for k in range(n_lists):
+        if held[-1] and held[-1] + sizes.get(k, 0) > UNIT:
+            held.append(0)
+        of[k] = len(held) - 1
+        held[-1] += sizes.get(k, 0)
+    return of, [(b, max(1, -(-n // UNIT))) for b, n in enumerate(held)]
+
+
 def _search_lists(classes: DataFrame, queries: DataFrame, lists: Lists, k: int) -> DataFrame:
     """asked, rep, score: the k best of each query in each partition of the units, a superset of its best in all."""
     import pyarrow as pa
 
-    def matrix(batch):
-        column = batch.column("embedding")
-        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
     def homes(batches):
         for batch in batches:
-            x = lists.rotate(matrix(batch))
+            x = lists.rotate(_matrix(batch.column("embedding")))
             near = lists.nearest(x, lists.centres).astype(np.int32)
             yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("embedding"), pa.array(near)], names=["rep", "embedding", "list"])
 
-    def probes(batches):
-        for batch in batches:
-            ranked = lists.ranked(lists.lengthen_queries(matrix(batch)))[:, : lists.probes].astype(np.int32)
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column("rep"), batch.column("embedding"), pa.array(ranked.tolist(), kind)], names=["rep", "embedding", "lists"])
-
     plain = classes.select("rep", "embedding")
+    small_batches(plain)
     held = materialize(plain.mapInArrow(homes, "rep long, embedding array<double>, list int"), "lists")
-    asking = plain.join(queries, plain["rep"] == queries["asked"], "left_semi").mapInArrow(probes, "rep long, embedding array<double>, lists array<int>")
-    asking = materialize(asking.select("rep", "embedding", F.explode("lists").alias("list")), "probes")
+    n_lists = len(lists.centres)
+    sizes = {r["list"]: r["count"] for r in held.groupBy("list").count().collect()}  # as many as there are centres
+    of_list, blocks = bundles(sizes, n_lists)
+    size = np.array([sizes.get(i, 0) for i in range(n_lists)])
 
-    # Each list is cut into blocks of vectors and its queries into blocks of queries; a unit is one of each.
-    blocks = held.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("of_vectors")).join(asking.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("of_queries")), "list")
+    def probes(batches):
+        """A row for each bundle that holds a list to probe: as many lists as the sample needs, and on until they hold k vectors."""
+        kind = pa.list_(pa.int32())
+        for batch in batches:
+            ranked = lists.ranked(lists.lengthen_queries(_matrix(batch.column("embedding"))))
+            enough = (np.cumsum(size[ranked], axis=1) < k).sum(1) + 1
+            row, bundle, wanted = [], [], []
+            for i, (order, n) in enumerate(zip(ranked, np.minimum(np.maximum(enough, lists.probes), n_lists))):
+                mine = order[:n]
+                for b in np.unique(of_list[mine]):
+                    row.append(i)
+                    bundle.append(b)
+                    wanted.append(mine[of_list[mine] == b].astype(np.int32))
+            taken = batch.select(["rep", "embedding"]).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(bundle, pa.int32()), pa.array(wanted, kind)], names=["rep", "embedding", "bundle", "lists"])
+
+    asking = plain.join(queries, plain["rep"] == queries["asked"], "left_semi").mapInArrow(probes, "rep long, embedding array<double>, bundle int, lists array<int>")
+    asking = materialize(asking, "probes")
+
+    # A bundle is cut into blocks of vectors and its queries into blocks of queries; a unit is one of each.
+    known = held.sparkSession.createDataFrame(blocks, "bundle int, of_vectors int")
+    bundle_of = held.sparkSession.createDataFrame([(i, int(b)) for i, b in enumerate(of_list)], "list int, bundle int")
+    cut = asking.groupBy("bundle").agg(F.ceil(F.count(F.lit(1)) / UNIT).cast("int").alias("of_queries")).join(F.broadcast(known), "bundle")
 
     def dealt(rows: DataFrame, kind: int, own: str, other: str) -> DataFrame:
         mine = F.pmod(F.xxhash64(F.lit(5), F.col("rep")), F.col(own)).cast("int")
         all_of = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        d = rows.join(blocks, "list").withColumn(own[3], mine).withColumn(other[3], all_of)
-        return d.select("list", "v", "q", F.lit(kind).alias("kind"), "rep", "embedding")
+        d = rows.join(F.broadcast(cut), "bundle").withColumn(own[3], mine).withColumn(other[3], all_of)  # no more rows than centres
+        return d.select("bundle", "v", "q", F.lit(kind).alias("kind"), "rep", "embedding", "lists")
 
-    both = dealt(held, 0, "of_vectors", "of_queries").unionByName(dealt(asking, 1, "of_queries", "of_vectors"))
-    both = both.repartition("list", "v", "q").sortWithinPartitions("list", "v", "q", "kind", "rep")
+    vectors = held.join(F.broadcast(bundle_of), "list").withColumn("lists", F.array("list"))
+    both = dealt(vectors, 0, "of_vectors", "of_queries").unionByName(dealt(asking, 1, "of_queries", "of_vectors"))
+    both = both.repartition("bundle", "v", "q").sortWithinPartitions("bundle", "v", "q", "kind", "rep")
     schema = pa.schema([("asked", pa.int64()), ("rep", pa.int64()), ("score", pa.float64())])
 
     def run(batches):
         best, unit, sides = Best(k), None, ([], [])
 
         def done():
-            if unit is not None and sides[0] and sides[1]:
-                ids, x = (np.concatenate(c) for c in zip(*sides[0]))
-                asked, q = (np.concatenate(c) for c in zip(*sides[1]))
-                scan(lists, best, ids, x, asked.tolist(), q)
+            if unit is None or not sides[0] or not sides[1]:
+                return
+            ids, x, home, _ = (np.concatenate(c) for c in zip(*sides[0]))
+            asked, q, wanted, number = (np.concatenate(c) for c in zip(*sides[1]))
+            rx, rq = lists.rotate(x).astype(np.float32), lists.lengthen_queries(q).astype(np.float32)
+            of = np.repeat(np.arange(len(asked)), number)
+            for one in np.unique(home):
+                mine, its = home == one, of[wanted == one]
+                if len(its):
+                    scan(lists, best, ids[mine], x[mine], asked[its].tolist(), q[its], rx[mine], rq[its])
 
         def drained():
             asked, ids, score = best.drain()
@@ -261,8 +309,12 @@ def _search_lists(classes: DataFrame, queries: DataFrame, lists: Lists, k: int)
                 yield pa.RecordBatch.from_arrays([pa.array(c[at : at + 20_000]) for c in (asked, ids, score)], schema=schema)
 
         for batch in batches:
-            x, rep = matrix(batch), batch.column("rep").to_numpy()
-            key = np.stack([batch.column(c).to_numpy() for c in ("list", "v", "q", "kind")], 1)
+            x, rep = _matrix(batch.column("embedding")), batch.column("rep").to_numpy()
+            key = np.stack([batch.column(c).to_numpy() for c in ("bundle", "v", "q", "kind")], 1)
+            named = batch.column("lists")
+            number = named.value_lengths().to_numpy(zero_copy_only=False)
+            upto = np.concatenate(([0], np.cumsum(number)))
+            named = named.flatten().to_numpy()
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1
             for lo, hi in zip([0, *cuts], [*cuts, len(key)]):
                 if hi <= lo:
@@ -273,8 +325,9 @@ def _search_lists(classes: DataFrame, queries: DataFrame, lists: Lists, k: int)
                     unit, sides = now, ([], [])
                     if len(best.row) > HELD:
                         yield from drained()
-                sides[key[lo, 3]].append((rep[lo:hi], x[lo:hi]))
+                sides[key[lo, 3]].append((rep[lo:hi], x[lo:hi], named[upto[lo] : upto[hi]], number[lo:hi]))
         done()
         yield from drained()
+        give_back()
 
     return both.mapInArrow(run, "asked long, rep long, score double")
