@@ -31,7 +31,7 @@ from .common import discard, give_back, map_texts, materialize, small_batches
 #: Words of a shingle, least similarity, and the least chance that a pair of that similarity shares a band.
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
 #: Hash functions at most; classes and shingles of one block, about; blocks of a group that isn't left as buckets.
-HASHES, BLOCK, SHINGLES, BLOCKS = 128, 512, 1 << 20, 8
+HASHES, BLOCK, SHINGLES, BLOCKS = 128, 256, 1 << 20, 16
 #: Rows of the broadcast table of hashes at most: 4 bytes each.
 FILTER = 1 << 20
 #: Edges from which on a node counts as a hub, at least; hubs at most, which are broadcast: 16 bytes each.

@@ -228,3 +228,17 @@ def test_query_recall(spark):
     for r in queries.op8_ann(spark, sf).collect():
         got[r["query_id"]].append((r["vec_id"], r["score"]))
     assert recall(rows, got, 20) >= 0.9
+
+
+def test_queries_of_small_clusters_get_all_their_neighbours(spark):
+    """Clusters far smaller than k, and lone vectors: every query gets k rows, or all there are."""
+    r = np.random.RandomState(31)
+    centres = r.standard_normal((150, 16)) * 10
+    rows = [(i, centres[i % 150] + r.standard_normal(16) * 0.01) for i in range(600)] + [(600 + i, r.standard_normal(16) * 200) for i in range(10)]
+    got = search(spark, rows, k=20, every=5)
+    assert len(got) == 122 and all(len(v) == 20 for v in got.values())
+
+
+def test_bundles_hold_all_lists():
+    of, blocks = ann.bundles({0: 4000, 1: 50, 2: 100, 4: 9000, 5: 1}, 6)
+    assert list(of) == sorted(of) and len(of) == 6 and dict(blocks) == {0: 1, 1: 1, 2: 3, 3: 1}
