@@ -205,7 +205,10 @@ def layers_set_up(spark, sf_dir):
     folder = scratch_folder(spark, "setup")
     names = plans_setup.set_up(spark, f"{folder}/landing", "trial_")
     again = plans_setup.set_up(spark, f"{folder}/landing", "trial_")
-    return _values(spark, [(n, n in again and spark.catalog.databaseExists(n)) for n in names], "database_name string, there boolean")
+    found = [(n, n in again and spark.catalog.databaseExists(n)) for n in names]
+    for n in names:
+        spark.sql(f"DROP DATABASE `{n}`")
+    return _values(spark, found, "database_name string, there boolean")
 
 
 # The store.
