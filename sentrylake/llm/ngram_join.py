@@ -272,7 +272,7 @@ def _verified(dealt: DataFrame) -> DataFrame:
 def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """node, component (its smallest node) for every node of the edges (a, b).
 
-    Large-star and small-star operations alternate until nothing changes. Each is an aggregation of the
+    Large-star and small-star operations alternate until every node but the roots has one edge, to its root. Each is an aggregation of the
     smallest neighbour and a join back. Nodes with very many edges, of which there can't be more than HUBS,
     meet their smallest neighbour by a broadcast, so that their edges stay where they are.
     """
@@ -286,27 +286,28 @@ def connected_components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
             return pairs.join(hubs, "u").unionByName(rest).select("u", "v", F.least("u", "low").alias("m"))
         return pairs.join(low.select("u", "low"), "u").select("u", "v", F.least("u", "low").alias("m"))
 
-    def mark(e: DataFrame) -> tuple:
-        """Number and hashes of the edges, and the most that meet in their smaller node; in their larger node few ever do."""
-        by = e.groupBy("v").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"), F.bit_xor(F.xxhash64("v", "u")).alias("y"))
-        return tuple(by.agg(F.sum("n"), F.bit_xor("x"), F.bit_xor("y"), F.max("n")).first())
+    def mark(e: DataFrame) -> tuple[int, int, int]:
+        """Number of edges, of nodes that aren't settled (larger end of several edges, or of one and smaller end of another), and the most
+        edges whose smaller end is one node; of larger ends few ever meet."""
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+        nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+        found = nodes.agg(F.sum("up"), F.count_if((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))), F.max("down")).first()
+        return tuple(x or 0 for x in found)
 
     now = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u > v").distinct(), "edges")
-    was = mark(now)
+    n, unsettled, most = mark(now)
     for _ in range(max_rounds):
-        if not was[0]:
+        if not unsettled:
             break
-        hub = max(HUB, 3 * was[0] // HUBS)
+        hub = max(HUB, 3 * n // HUBS)
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = smallest(both, hub if was[3] > hub else 0).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = smallest(both, hub if most > hub else 0).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         small = smallest(large)
         small = small.select("u", F.col("m").alias("v")).unionByName(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")))
-        after = materialize(small.where("u > v").distinct().coalesce(1 + was[0] // EDGES), "edges")
+        after = materialize(small.where("u > v").distinct().coalesce(1 + n // EDGES), "edges")
         discard(now)
-        now, is_ = after, mark(after)
-        if is_ == was:
-            break
-        was = is_
+        now = after
+        n, unsettled, most = mark(now)
     else:
         raise RuntimeError("the components have not settled")
     roots = now.select(F.col("v").alias("node")).distinct()

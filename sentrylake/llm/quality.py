@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts
+from .common import give_back, map_texts
 from .labelled import class_counts, copy_bands, sample_labels, with_texts, without_copies
 
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
@@ -177,7 +177,12 @@ def fit_model(docs: DataFrame, labels: DataFrame) -> QualityModel:
     sample = with_texts(sample_labels(labels, "quality", *HELD_OUT, EXAMPLES), docs)
     seen = map_texts(sample.select("doc_id", "label", "text", F.col("text").alias("of")), ["doc_id", "label", "text"], lambda: lambda text: (copy_bands(text),), "bands array<long>").toArrow().to_pylist()
     kept = without_copies([(r["doc_id"], r["label"], r["bands"]) for r in seen])
-    return QualityModel.fit([(r["doc_id"], r["label"], (r["text"] or "").encode()) for r in seen if r["doc_id"] in kept], rows)
+    examples = [(r["doc_id"], r["label"], (r["text"] or "").encode()) for r in seen if r["doc_id"] in kept]
+    del seen
+    model = QualityModel.fit(examples, rows)
+    del examples
+    give_back()
+    return model
 
 
 def score_texts(df: DataFrame, keep: list[str], model: QualityModel) -> DataFrame:

@@ -242,17 +242,28 @@ class ToxicityModel:
         held = [np.bincount(terms[label == y], minlength=max(1, self.n_terms)) for y in (0, 1)]
         odds = [(held[y] + SHRINK * (n[y] / max(1.0, n.sum()))) / max(1.0, n[y]) for y in (0, 1)]
         self.factor = np.log(odds[1] / odds[0]) ** 4 if all(n) else np.zeros(max(1, self.n_terms))
-        ends = np.cumsum(sizes)
-        vectors = [self.vector(terms[e - m : e], counts[e - m : e]) for m, e in zip(sizes, ends)]
-        self.index = BlockMaxIndex.build(vectors, self.n_terms)
-        self.knots = knots or self.calibration(vectors)
+        self._index: BlockMaxIndex | None = None
+        self.knots = knots or self.calibration()
+        if knots is None:  # the driver scores nothing as a rule
+            self._index = None
 
     def __reduce__(self):
         return _restored, (self.key, (*self.state, self.knots))
 
-    def calibration(self, vectors) -> tuple[np.ndarray, np.ndarray]:
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        _, _, sizes, terms, counts = self.state[5]
+        return [self.vector(terms[e - m : e], counts[e - m : e]) for m, e in zip(sizes, np.cumsum(sizes))]
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self._index is None:
+            self._index = BlockMaxIndex.build(self.vectors(), self.n_terms)
+        return self._index
+
+    def calibration(self) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.labels):
             return np.zeros(1), np.zeros(1)
+        vectors = self.vectors()
         # A bounded number of examples, dealt over the sample, is enough for the calibration.
         used = list(range(0, len(self.labels), max(1, len(self.labels) // 2000)))
         raw = np.array([self.share(*near[:3]) for near in self.index.search([vectors[i] for i in used], NEIGHBOURS, used, self.factor)])
@@ -333,7 +344,10 @@ def fit_model(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             df[numbers[t]] = n
         else:
             more[t] = n
-    return ToxicityModel(uuid.uuid4().hex, n_docs, wanted, df, "\n".join(more), np.array(list(more.values()), float), examples, rows, None, frequencies)
+    model = ToxicityModel(uuid.uuid4().hex, n_docs, wanted, df, "\n".join(more), np.array(list(more.values()), float), examples, rows, None, frequencies)
+    del parts, numbers, table, more
+    give_back()
+    return model
 
 
 SCORE_SCHEMA = "score double, evidence array<struct<doc_id: long, label: int, similarity: double>>"
