@@ -18,6 +18,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterable
+from itertools import groupby
 
 import ahocorasick
 
@@ -201,14 +202,27 @@ class PieceCodec:
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
-        """The text of the ids; the leading word mark's blank is dropped, broken characters become U+FFFD byte by byte."""
+        """The text of the ids; the leading word mark's blank is dropped, broken characters become U+FFFD byte by byte.
+
+        Bytes on either side of an id without a text make no character together.
+        """
         ids = list(ids)
-        text = "".join(map(self.shown.__getitem__, ids))
-        lead = next((i for i in ids if self.shown[i]), None)
+        shown = list(map(self.shown.__getitem__, ids))
+        text = "".join(shown)
+        lead = next((i for i, part in zip(ids, shown) if part), None)
         if lead in self.starts_with_mark:
             text = text[1:]
         if text.isascii():
             return text
+        if "" in shown[:-1]:
+            if lead in self.starts_with_mark:
+                shown[ids.index(lead)] = shown[ids.index(lead)][1:]
+            runs = groupby(zip(ids, shown), key=lambda pair: bool(self.shown[pair[0]]))
+            return "".join(self._characters("".join(part for _, part in run)) for _, run in runs)
+        return self._characters(text)
+
+    @staticmethod
+    def _characters(text: str) -> str:
         raw = text.encode("utf-8", "surrogateescape")
         try:
             return raw.decode("utf-8")

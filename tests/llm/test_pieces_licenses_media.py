@@ -55,6 +55,11 @@ def test_decoding_equals_the_library(both, ids):
     assert both[0].decode(ids) == both[1].decode(ids)
 
 
+@pytest.mark.parametrize("ids", [[197, 1, 131], [197, 131], [1, 197, 2, 131, 2], [2, 29871, 197, 1, 1, 131, 29871], [197, 0, 131, 2]])
+def test_bytes_across_an_id_without_a_text_make_no_character(both, ids):
+    assert both[0].decode(ids) == both[1].decode(ids)
+
+
 def test_backtracking_is_needed_and_used(both):
     """Texts whose greedy longest match is not what merging gives."""
     own, _ = both
