@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, licenses, media, mixing, ngram_join, pieces, quality, sharding, toxicity
+from . import ann, chat, interval_join, licenses, media, mixing, ngram_join, packing, pieces, quality, resampling, sharding, toxicity
 from .common import map_texts, utf8_size
 from .labelled import held_out
 
@@ -138,6 +138,28 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return map_texts(docs, ["doc_id"], make, "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double")
 
 
+def byte_vocabulary() -> tuple[str, bytes]:
+    """The byte-level vocabulary as the tokenizers library reads it, and as ranks; tasks get both with their code."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f, open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as ranks:
+        return f.read(), ranks.read()
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), *byte_vocabulary())
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark").select("text"))
+
+
+def op13_interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = interval_join.sessions(interval_join.click_events(table(spark, sf_dir, "clicks")))
+    of = interval_join.sale_intervals(table(spark, sf_dir, "sales"), table(spark, sf_dir, "sale_lines"))
+    return interval_join.overlap_totals(of, found).withColumnRenamed("id", "sale_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_mixing": op2_mixing,
@@ -149,8 +171,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ann": op8_ann,
     "op9_sharding": op9_sharding,
     "op10_licenses": op10_licenses,
+    "op11_packing": op11_packing,
+    "op12_importance": op12_importance,
+    "op13_interval_overlap": op13_interval_overlap,
 }
 
+# CRC-32 of a text's UTF-8 bytes, by the table of the reversed polynomial.
+_CRC_TABLE = """crc_table AS MATERIALIZED (SELECT list(c ORDER BY n) AS tab FROM (SELECT n,
+  list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) AS t(n)))"""
+_CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(octet_length(encode({0}))), lambda i: ('0x' || substr(hex(encode({0})), 2 * i + 1, 2))::BIGINT)),
+  lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295::BIGINT)"""
+
 _ESCAPED = r"regexp_replace(replace({0}, '\', '\\'), '([<\[])(/?(?:s>|INST\]))', '\1\\\2', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -185,4 +216,32 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   sum(CASE WHEN role = 'assistant' OR n = all_n THEN upto ELSE 0 END)::BIGINT AS formatted_chars
 FROM p GROUP BY conv_id""",
+    "op12_importance": rf"""
+WITH {_CRC_TABLE},
+texts AS (SELECT 'raw' AS side, row_number() OVER () AS r, doc_id, text FROM documents UNION ALL SELECT 'target', NULL, NULL, text FROM benchmark),
+w AS (SELECT side, r, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM texts),
+n AS (SELECT side, r, word, count(*) AS n FROM w GROUP BY ALL),
+v AS (SELECT word, {_CRC.format('word')} % 10000 AS bucket FROM (SELECT DISTINCT word FROM n), crc_table),
+b AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'raw'), 0)::BIGINT AS s, coalesce(sum(n) FILTER (WHERE side = 'target'), 0)::BIGINT AS t FROM n JOIN v ON n.word = v.word GROUP BY bucket),
+g AS (SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM b),
+f AS (SELECT r, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight FROM n JOIN v ON n.word = v.word JOIN g ON v.bucket = g.bucket WHERE side = 'raw' GROUP BY r),
+h AS (SELECT texts.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+        + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(texts.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM texts LEFT JOIN f ON texts.r = f.r WHERE side = 'raw'),
+k AS (SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS FIRST) AS place FROM h)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= (SELECT count(*) * 10 // 100 FROM h WHERE n_features >= 20) THEN place END AS rank FROM k""",
+    "op13_interval_overlap": rf"""
+WITH {_CRC_TABLE},
+c AS (SELECT client_id, ts, kind, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 15 MINUTE THEN 0 ELSE 1 END AS fresh FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL WINDOW w AS (PARTITION BY client_id ORDER BY ts)),
+m AS (SELECT *, sum(fresh) OVER (PARTITION BY client_id ORDER BY ts) AS session FROM c),
+e AS (SELECT client_id, min(ts) AS first, max(ts) AS last, arg_max(kind, (ts, kind IS NOT DISTINCT FROM 'error')) IS NOT DISTINCT FROM 'error' AS is_open FROM m GROUP BY client_id, session),
+s AS (SELECT client_id, epoch_us(first) // 21600000000 AS x, CASE WHEN is_open THEN 1000000000000 ELSE epoch_us(last) // 21600000000 END AS y, {_CRC.format("epoch_us(first)::VARCHAR")} AS crc FROM e, crc_table),
+l AS (SELECT sale_id, max(shipped_at) AS shipped FROM sale_lines GROUP BY sale_id),
+i AS (SELECT sales.sale_id, client_id, epoch_us(sold_at) // 21600000000 AS a, CASE WHEN status IS NOT DISTINCT FROM 'open' THEN 1000000000000 ELSE epoch_us(greatest(sold_at, shipped)) // 21600000000 END AS b
+      FROM sales LEFT JOIN l ON sales.sale_id = l.sale_id WHERE client_id IS NOT NULL AND sold_at IS NOT NULL)
+SELECT sale_id, CASE WHEN a < x THEN CASE WHEN b < y THEN 'overlaps' WHEN b = y THEN 'finished_by' ELSE 'contains' END
+    WHEN a = x THEN CASE WHEN b < y THEN 'starts' WHEN b = y THEN 'equals' ELSE 'started_by' END
+    ELSE CASE WHEN b < y THEN 'during' WHEN b = y THEN 'finishes' ELSE 'overlapped_by' END END AS relation,
+  count(*) AS n_pairs, CASE WHEN max(b) = 1000000000000 AND min(y) = 1000000000000 THEN NULL ELSE sum(least(b, y) - greatest(a, x) + 1)::BIGINT END AS overlap_slots, sum(crc)::BIGINT AS sessions_crc
+FROM i JOIN s ON i.client_id = s.client_id AND x <= b AND y >= a GROUP BY ALL""",
 }
