@@ -13,6 +13,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize, utf8_size
+
 
 def remainder(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
@@ -49,6 +51,22 @@ def with_texts(sample: DataFrame, docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
+def bounded_texts(sample: DataFrame, docs: DataFrame, most_bytes: int) -> DataFrame:
+    """As ``with_texts``, of ``most_bytes`` of text at most: each class takes its rows in the order of a hash of their ids while they
+    fit into its half. Only sizes of the sample's rows reach the driver. A row whose text alone is larger is left out."""
+    held = materialize(with_texts(sample, docs).withColumn("h", F.xxhash64("doc_id")), "labelled-texts")
+    sizes = held.select("doc_id", "label", "h", utf8_size(F.col("text")).alias("n")).collect()
+    if 2 * sum(r["n"] for r in sizes) <= most_bytes:
+        return held.drop("h")
+    fit, full = [], {0: 0, 1: 0}
+    for r in sorted(sizes, key=lambda r: (r["h"], r["doc_id"])):
+        if full[r["label"]] + r["n"] <= most_bytes // 2:
+            full[r["label"]] += r["n"]
+            fit.append((r["doc_id"],))
+    ids = held.sparkSession.createDataFrame(fit, held.select("doc_id").schema)
+    return held.join(F.broadcast(ids), "doc_id", "left_semi").drop("h")
+
+
 _BANDS, _ROWS = 4, 3
 _COPY_WORD = re.compile(r"\w+")
 

@@ -15,12 +15,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import give_back, map_texts
-from .labelled import class_counts, copy_bands, sample_labels, with_texts, without_copies
+from .labelled import bounded_texts, class_counts, copy_bands, sample_labels, without_copies
 
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
 HELD_OUT = (5, 0)
 #: Labelled rows of each class at most, and chunks that are worked on at once, which bounds memory whatever a text's length.
 EXAMPLES, AT_ONCE = 1500, 32
+#: Bytes of the sample's texts together, at most.
+EXAMPLE_BYTES = 64 << 20
 #: Bytes of a chunk and from one chunk's start to the next's; of a filter and from one place to the next.
 CHUNK, STEP, WIDTH, STRIDE = 256, 224, 8, 2
 #: Sizes of a byte's vector, of the filters and of the hidden layer; rounds of training; documents of one step.
@@ -168,13 +170,13 @@ class QualityModel:
 
 
 def fit_model(docs: DataFrame, labels: DataFrame) -> QualityModel:
-    """Learns from the whole texts of EXAMPLES labelled rows of each class at most; copies among them count once.
+    """Learns from the whole texts of EXAMPLES labelled rows of each class and EXAMPLE_BYTES in all at most; copies among them count once.
 
     Of several texts with one id the first in code-point order is read; ids without a text count as empty texts. Without
     labels of both classes every score is near the base rate, without any labels it is 0.5.
     """
     rows = class_counts(labels, "quality", *HELD_OUT)
-    sample = with_texts(sample_labels(labels, "quality", *HELD_OUT, EXAMPLES), docs)
+    sample = bounded_texts(sample_labels(labels, "quality", *HELD_OUT, EXAMPLES), docs, EXAMPLE_BYTES)
     seen = map_texts(sample.select("doc_id", "label", "text", F.col("text").alias("of")), ["doc_id", "label", "text"], lambda: lambda text: (copy_bands(text),), "bands array<long>").toArrow().to_pylist()
     kept = without_copies([(r["doc_id"], r["label"], r["bands"]) for r in seen])
     examples = [(r["doc_id"], r["label"], (r["text"] or "").encode()) for r in seen if r["doc_id"] in kept]

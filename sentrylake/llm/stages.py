@@ -16,7 +16,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with a toxicity below THRESHOLD. The labelled rows of the corpus teach the model."""
     model = toxicity.fit_model(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
-    return filter_texts(docs, lambda: lambda texts: [found[0] < THRESHOLD for found in model.score_many(texts)])
+    return filter_texts(docs, lambda: lambda texts: [found[0] < THRESHOLD for found in model.score_many(texts, shown=False)])
 
 
 def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

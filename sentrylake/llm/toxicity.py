@@ -1,17 +1,17 @@
 """Toxicity by the nearest labelled examples.
 
-Labelled examples are vectors of TF-IDF weights over all their words, each cut to its first five letters; document frequencies
-are those of all documents, and norms are taken over whole texts. The examples lie in an inverted index cut into blocks. For each
-block and term the index holds the largest weight, so a query's terms give an upper bound of the cosine to any example of a
-block. The blocks with the highest bounds are scored first; then those whose bound reaches the k-th best cosine so far: the
-neighbours are exactly those of a full scan.
-
-Neighbours vote by their distance: the part of the dot product that lies in terms which tell the classes apart, each term counting
-with the fourth power of its shrunk log-odds, beside a fixed vote of the base rate. The share of votes is calibrated by isotonic
-regression on the examples themselves, each scored without itself.
-
-Votes take the query's vector with norm 1 over the terms that examples hold. What its other terms add to the norm is joined to
-the rows afterwards, for the cosines that are shown.
+Labelled examples are vectors of TF-IDF weights over all their words; document frequencies are those of all documents, and norms are
+taken over whole texts. The examples lie in an inverted index cut into blocks. For each block and term the index
+holds the largest weight, so a query's terms give an upper bound of the cosine to any example of a block. The blocks with the
+highest bounds are scored first; then those whose bound reaches the k-th best cosine so far: the neighbours are exactly those of a
+full scan.
+
+Neighbours vote by their distance alone: a vote weighs a power of the cosine, and the share of the votes for label 1 is
+calibrated by isotonic regression on the examples themselves, each scored without itself. The number of neighbours and the
+power are those that tell the classes of the examples apart best, likewise without themselves.
+
+Votes need the query's vector up to a factor, so its norm over the terms that examples or many documents hold is enough. What its other
+terms add to the norm is joined to the rows afterwards, for the cosines that are shown as evidence.
 """
 
 from __future__ import annotations
@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, give_back, map_texts, materialize, small_batches
-from .labelled import class_counts, copy_bands, sample_labels, with_texts, without_copies
+from .labelled import bounded_texts, class_counts, copy_bands, sample_labels, without_copies
 
 #: Remainder of crc32(doc_id) modulo HELD_OUT[0] whose labels are never used.
 HELD_OUT = (4, 2)
-#: Labelled rows of each class at most; examples in a block; neighbours.
-EXAMPLES, BLOCK, NEIGHBOURS = 3000, 64, 50
+#: Labelled rows of each class at most, and bytes of their texts together; examples in a block.
+EXAMPLES, EXAMPLE_BYTES, BLOCK = 3000, 64 << 20, 64
+#: Numbers of neighbours and powers of the cosine to choose from.
+NEIGHBOURS, POWERS = (20, 50, 100), (1, 2, 4)
 #: Terms of the most examples, whose weights lie in dense blocks; the others lie in postings.
 DENSE = 2048
 #: Blocks that a query scores before it has a k-th best; queries that are searched together.
@@ -40,13 +42,11 @@ FIRST, TOGETHER = 4, 128
 SHARED_BY = 1000
 #: Terms that a task counts before it hands its counts on.
 COUNTED_AT_ONCE = 300_000
-#: The vote of the base rate; examples that a term's log-odds are shrunk by.
-PRIOR_VOTE, SHRINK = 0.7, 4.0
-_TERM = re.compile(r"(\w{1,5})\w*")
+_TERM = re.compile(r"\w+")
 
 
 def term_counts(text: str | None) -> dict[str, int]:
-    """Terms of the whole text, each with its number: the first five letters of every lower-cased word. None for null and empty texts."""
+    """Words of the whole text in lower case, each with its number. None for null and empty texts."""
     return Counter(_TERM.findall((text or "").lower()))
 
 
@@ -119,27 +119,19 @@ class BlockMaxIndex:
         starts = np.concatenate(([0], np.cumsum(np.bincount(terms[rest], minlength=max(n_terms, 1)))))
         return cls(n, order, row, dense, np.ascontiguousarray(dense.max(2).T), starts, at[rest], weights[rest], begins, terms, weights)
 
-    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None, factor: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
         """For each query (terms, weights) the numbers and cosines of the k nearest examples with a cosine above 0 (ties: the
-        smaller number first), the parts of the same dot products with each term times ``factor``, and how many blocks were scored.
+        smaller number first), and how many blocks were scored.
 
         ``skip``: an example for each query that is none of its neighbours. Scores are summed in single precision, so bounds get a
         margin, and whoever may be among the k is summed again in double precision.
         """
         out = []
         for at in range(0, len(queries), TOGETHER):
-            out += self._search(queries[at : at + TOGETHER], k, (skip or [-1] * len(queries))[at : at + TOGETHER], factor)
+            out += self._search(queries[at : at + TOGETHER], k, (skip or [-1] * len(queries))[at : at + TOGETHER])
         return out
 
-    def told(self, factor: np.ndarray | None) -> np.ndarray:
-        """The examples' weights times ``factor``, made once for each factor."""
-        if factor is None:
-            return self.weights
-        if getattr(self, "_told", (None,))[0] is not factor:
-            self._told = factor, self.weights * factor[self.terms]
-        return self._told[1]
-
-    def _search(self, queries, k, skip, factor):
+    def _search(self, queries, k, skip):
         m, n_blocks = len(queries), len(self.dense)
         width = n_blocks * BLOCK
         who = np.repeat(np.arange(m), [len(t) for t, _ in queries])
@@ -175,25 +167,23 @@ class BlockMaxIndex:
         least, scored = np.maximum(worst() - 1e-5, 0), alive.sum(1)
         score[~alive] = 0
         near, out = score.reshape(m, width)[:, : self.n] > least[:, None], []
-        telling = self.told(factor)
         query = np.zeros(len(self.row))
         for i, (own, heft) in enumerate(queries):
             places = np.flatnonzero(near[i])
             if not len(places):
-                out.append((np.zeros(0, np.int64), np.zeros(0), np.zeros(0), int(scored[i])))
+                out.append((np.zeros(0, np.int64), np.zeros(0), int(scored[i])))
                 continue
             query[own] = heft
             spans = [slice(a, b) for a, b in zip(self.begins[places].tolist(), self.begins[places + 1].tolist())]
             start = np.cumsum([0, *(x.stop - x.start for x in spans[:-1])])
             held = query.take(np.concatenate([self.terms[x] for x in spans]), mode="clip")
             exact = np.add.reduceat(held * np.concatenate([self.weights[x] for x in spans]), start)
-            part = np.add.reduceat(held * np.concatenate([telling[x] for x in spans]), start)
             query[own] = 0
             number = self.order[places]
             mine = (number != skip[i]) & (exact > 0)
-            number, exact, part = number[mine], exact[mine], part[mine]
+            number, exact = number[mine], exact[mine]
             top = np.lexsort((number, -np.round(exact, 12)))[:k]
-            out.append((number[top], exact[top], part[top], int(scored[i])))
+            out.append((number[top], exact[top], int(scored[i])))
         return out
 
 
@@ -213,6 +203,14 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.repeat(level, width)
 
 
+def separation(x: np.ndarray, y: np.ndarray) -> float:
+    """The chance that a row of label 1 has a larger x than one of label 0; ties count half."""
+    _, where, count = np.unique(x, return_inverse=True, return_counts=True)
+    rank = (np.cumsum(count) - (count - 1) / 2)[where]
+    ones = int(y.sum())
+    return float((rank[y == 1].sum() - ones * (ones + 1) / 2) / max(1, ones * (len(y) - ones)))
+
+
 _built: dict[str, ToxicityModel] = {}
 
 
@@ -227,7 +225,7 @@ def _restored(key: str, state: tuple) -> ToxicityModel:
 class ToxicityModel:
     """``frequencies`` (term, df of all documents) stays with the driver; tasks get what the others hold."""
 
-    def __init__(self, key: str, n_docs: int, words: str, df: np.ndarray, more: str, more_df: np.ndarray, examples: tuple[np.ndarray, ...], rows: dict[int, int], knots=None, frequencies: DataFrame | None = None):
+    def __init__(self, key: str, n_docs: int, words: str, df: np.ndarray, more: str, more_df: np.ndarray, examples: tuple[np.ndarray, ...], rows: dict[int, int], fitted=None, frequencies: DataFrame | None = None):
         """words: the examples' terms, by lines; more: other frequent terms; examples: ids, labels, sizes, terms, counts."""
         self.key, self.n_docs, self.frequencies = key, n_docs, frequencies
         self.state = n_docs, words, df, more, more_df, examples, rows
@@ -238,17 +236,14 @@ class ToxicityModel:
         n = np.bincount(self.labels, minlength=2).astype(float)
         self.importance = np.array([rows[y] / n[y] if n[y] else 0.0 for y in (0, 1)])  # by class: how many rows of all an example stands for
         self.base = n[1] / max(1.0, n.sum())
-        label = np.repeat(self.labels, sizes)
-        held = [np.bincount(terms[label == y], minlength=max(1, self.n_terms)) for y in (0, 1)]
-        odds = [(held[y] + SHRINK * (n[y] / max(1.0, n.sum()))) / max(1.0, n[y]) for y in (0, 1)]
-        self.factor = np.log(odds[1] / odds[0]) ** 4 if all(n) else np.zeros(max(1, self.n_terms))
         self._index: BlockMaxIndex | None = None
-        self.knots = knots or self.calibration()
-        if knots is None:  # the driver scores nothing as a rule
+        self.fitted = fitted or self.fit()
+        self.neighbours, self.power, self.knots = self.fitted
+        if fitted is None:  # the driver scores nothing as a rule
             self._index = None
 
     def __reduce__(self):
-        return _restored, (self.key, (*self.state, self.knots))
+        return _restored, (self.key, (*self.state, self.fitted))
 
     def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
         _, _, sizes, terms, counts = self.state[5]
@@ -260,31 +255,40 @@ class ToxicityModel:
             self._index = BlockMaxIndex.build(self.vectors(), self.n_terms)
         return self._index
 
-    def calibration(self) -> tuple[np.ndarray, np.ndarray]:
+    def fit(self) -> tuple[int, float, tuple[np.ndarray, np.ndarray]]:
+        """Number of neighbours, power of the cosine, and knots from the share of votes to the score."""
         if not len(self.labels):
-            return np.zeros(1), np.zeros(1)
+            return NEIGHBOURS[0], POWERS[0], (np.zeros(1), np.zeros(1))
         vectors = self.vectors()
-        # A bounded number of examples, dealt over the sample, is enough for the calibration.
+        # A bounded number of examples, dealt over the sample, is enough.
         used = list(range(0, len(self.labels), max(1, len(self.labels) // 2000)))
-        raw = np.array([self.share(*near[:3]) for near in self.index.search([vectors[i] for i in used], NEIGHBOURS, used, self.factor)])
-        y = self.labels[used]
+        found = self.index.search([vectors[i] for i in used], max(NEIGHBOURS), used)
+        y, best = self.labels[used], None
+        for k in NEIGHBOURS:
+            for power in POWERS:
+                raw = np.array([self.share(near[:k], cosine[:k], power) for near, cosine, _ in found])
+                apart = round(separation(raw, y), 4)
+                if best is None or apart > best[0]:
+                    best = apart, k, power, raw
+        _, k, power, raw = best
         weight = np.maximum(1, np.round(4 * self.importance[y] / max(self.importance.max(), 1e-9))).astype(int)
         xs, level = isotonic(np.repeat(raw, weight), np.repeat(y, weight).astype(float))
-        return xs, np.clip(level, 0.5 / (1 + len(raw)), 1 - 0.5 / (1 + len(raw)))
+        return k, power, (xs, np.clip(level, 0.5 / (1 + len(raw)), 1 - 0.5 / (1 + len(raw))))
 
     def vector(self, terms: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms, and their weights of norm 1."""
         w = (1 + np.log(counts)) * self.idf[terms]
         return terms, w / np.sqrt(w @ w) if len(w) else w
 
-    def share(self, near: np.ndarray, cosine: np.ndarray, part: np.ndarray) -> float:
-        """The share of the votes for label 1; only terms that tell something give votes their weight."""
-        return float((part @ self.labels[near] + PRIOR_VOTE * self.base) / (part.sum() + PRIOR_VOTE))
+    def share(self, near: np.ndarray, cosine: np.ndarray, power: float) -> float:
+        """The share of the votes for label 1; without neighbours the part of label 1 among the examples."""
+        vote = cosine**power
+        return float(vote @ self.labels[near] / vote.sum()) if len(near) else float(self.base)
 
-    def score_many(self, texts: list[str | None]) -> list[tuple[float, list[tuple[int, int, float]], float, list[tuple[str, float]]]]:
+    def score_many(self, texts: list[str | None], shown: bool = True) -> list[tuple[float, list[tuple[int, int, float]], float, list[tuple[str, float]]]]:
         """For each text: score, neighbours, squared norm over the known terms, the other terms with their squared term frequency weights.
 
-        Neighbours are (id, label, cosine), the cosine over the norm of the known terms.
+        Neighbours are (id, label, cosine), the cosine over the norm of the known terms. Only if ``shown`` is set, neighbours and other terms are listed.
         """
         queries, whole, rest = [], [], []
         for text in texts:
@@ -298,30 +302,37 @@ class ToxicityModel:
             own = float(heft @ heft)
             queries.append((place[known][mine], heft / np.sqrt(own) if own else heft))
             whole.append((own, float(weight @ weight)))
-            rest.append([(t, float(f) ** 2) for t, f, k in zip(counts, frequency, known) if not k] if not known.all() else [])
+            rest.append([(t, float(f) ** 2) for t, f, k in zip(counts, frequency, known) if not k] if shown and not known.all() else [])
         out = []
-        for (near, cosine, part, _), (own, square), others in zip(self.index.search(queries, NEIGHBOURS, None, self.factor) if queries else [], whole, rest):
+        for (near, cosine, _), (own, square), others in zip(self.index.search(queries, self.neighbours) if queries else [], whole, rest):
             shrink = np.sqrt(own / square) if square else 1.0
-            score = float(np.interp(self.share(near, cosine, part), *self.knots))
-            out.append((score, [(int(self.ids[i]), int(self.labels[i]), float(c * shrink)) for i, c in zip(near, cosine)], square, others))
+            score = float(np.interp(self.share(near, cosine, self.power), *self.knots))
+            out.append((score, [(int(self.ids[i]), int(self.labels[i]), float(c * shrink)) for i, c in zip(near, cosine)] if shown else [], square, others))
         return out
 
 
 def fit_model(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Learns from EXAMPLES labelled rows of each class at most, by the document frequencies of all ``docs``. Copies among the examples count once.
 
-    Without labelled rows the model gives every text the score 0. What reaches the driver is bounded by the sample (its texts,
-    and their terms' frequencies) and by the number of terms that more than one in SHARED_BY documents can hold.
+    Without labelled rows the model gives every text the score 0. What reaches the driver is bounded by the sample (its rows' terms and
+    their numbers, from EXAMPLE_BYTES of text at most) and by the number of terms that more than one in SHARED_BY documents can hold.
     """
     rows = class_counts(labels, "toxic", *HELD_OUT)
-    sample = with_texts(sample_labels(labels, "toxic", *HELD_OUT, EXAMPLES), docs)
-    found = map_texts(sample.select("doc_id", "label", "text", F.col("text").alias("of")), ["doc_id", "label", "text"], lambda: lambda text: (copy_bands(text),), "bands array<long>").toArrow().to_pylist()
-    kept = without_copies([(r["doc_id"], r["label"], r["bands"]) for r in found])
+    sample = bounded_texts(sample_labels(labels, "toxic", *HELD_OUT, EXAMPLES), docs, EXAMPLE_BYTES)
+
+    def counted(text):
+        counts = term_counts(text)
+        return copy_bands(text), list(counts), list(counts.values())
+
+    found = map_texts(sample, ["doc_id", "label"], lambda: counted, "bands array<long>, terms array<string>, counts array<int>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    heads = found.select(["doc_id", "label", "bands"]).to_pylist()
+    kept = without_copies([(r["doc_id"], r["label"], r["bands"]) for r in heads])
     numbers: dict[str, int] = {}
     parts: list[tuple[int, int, np.ndarray, np.ndarray]] = []
-    for r in sorted((r for r in found if r["doc_id"] in kept), key=lambda r: (r["doc_id"], r["label"], r["text"] or "")):
-        counts = term_counts(r["text"])
-        parts.append((r["doc_id"], r["label"], np.array([numbers.setdefault(t, len(numbers)) for t in counts], np.int32), np.array(list(counts.values()), np.int32)))
+    for i, r in enumerate(heads):
+        if r["doc_id"] in kept:
+            terms, counts = found.column("terms")[i].as_py(), found.column("counts")[i].as_py()
+            parts.append((r["doc_id"], r["label"], np.array([numbers.setdefault(t, len(numbers)) for t in terms], np.int32), np.array(counts, np.int32)))
     del found
     join = lambda k: np.concatenate([p[k] for p in parts]) if parts else np.zeros(0, np.int32)
     examples = np.array([p[0] for p in parts], np.int64), np.array([p[1] for p in parts], np.int64), np.array([len(p[2]) for p in parts], np.int64), join(2), join(3)
@@ -357,18 +368,21 @@ def score_texts(df: DataFrame, keep: list[str], model: ToxicityModel, evidence:
     """``keep``, then the score of each row's ``text`` and its nearest labelled examples.
 
     Null, empty and wordless texts get the score of the base rate and no evidence; so do texts without a term that any example
-    holds. Texts are read whole, whatever their length; repeated rows come out repeated, with equal values; among equally near
+    holds. ``evidence``: neighbours that are shown for each row; without any, no norms need be joined. Texts are read whole, whatever their length; repeated rows come out repeated, with equal values; among equally near
     examples the one with the smaller id stands first. An empty frame gives no rows, an empty table of labels the score 0 for all.
     Columns that are not in ``keep`` are dropped, whatever their names.
     """
 
     def make():
         def run(rows):
-            found = model.score_many([text for text, in rows])
+            found = model.score_many([text for text, in rows], evidence > 0)
             return [(value, [{"doc_id": d, "label": y, "similarity": s} for d, y, s in near[:evidence]], square, [{"term": t, "w": w} for t, w in rest] if near else []) for value, near, square, rest in found]
 
         return run
 
+    if not evidence:
+        plain = map_texts(df.select(*keep, F.col("text").alias("scored_text")), keep, make, f"{SCORE_SCHEMA}, unused double, rest array<struct<term: string, w: double>>", many=True)
+        return plain.select(*keep, "score", "evidence")
     row, square, rest, more = (free_name(df, x) for x in ("row_number", "square", "rest", "more"))
     numbered = df.select(*keep, F.monotonically_increasing_id().alias(row), F.col("text").alias("scored_text"))
     scored = materialize(map_texts(numbered, [*keep, row], make, f"{SCORE_SCHEMA}, {square} double, {rest} array<struct<term: string, w: double>>", many=True), "toxicity-scores")
