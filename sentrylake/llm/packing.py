@@ -9,7 +9,8 @@ lifted its levels, is paired across ranges, and the rank within a level resolves
 row of either kind per range at most, so no level is large. Gaps shrink by what they took, and the next round begins. Where
 nothing fits any more, what is left opens sequences again.
 
-Sizes that very many documents share lie in several ranges, as ids break ties. Only sums per range and a few totals meet in one place.
+Sizes that very many documents share lie in several ranges, as ids break ties. Only sums per range and a few totals meet in one place;
+once no more than LAST_ROWS documents and gaps are left, one task goes through the rounds that remain for them.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from .common import discard, give_back, materialize, small_batches
 CAPACITY = 2048
 #: Rows of a sweep's task, about.
 ROWS_PER_TASK = 250_000
+#: Documents and gaps whose last rounds one task takes.
+LAST_ROWS = 50_000
 #: Where sequences would hold more documents than this on average, short ones are bundled for as long as bundles fit.
 CROWDED = 16
 #: Tokens of a bundle at most, as a part of a sequence.
@@ -71,6 +74,17 @@ def cut_documents(docs: DataFrame, vocabulary: str, ranks: bytes, capacity: int
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind.simpleString()}, piece int, start long, length long, ids_crc32 long")
 
 
+def paired(value, kind):
+    """(places of gaps, places of their documents) of a sorted line: the brackets that close within it."""
+    import numpy as np
+
+    level = np.cumsum(1 - 2 * kind.astype(np.int64)) + kind
+    order = np.argsort(level, kind="stable")
+    gap, doc = order[1:], order[:-1]
+    pair = (level[gap] == level[doc]) & (kind[gap] == GAP) & (kind[doc] == DOCUMENT)
+    return gap[pair], doc[pair], level
+
+
 def _sweep(line: DataFrame, tasks: int) -> DataFrame:
     """kind, id, value, part, level, mate, mate_value of a range-sorted line: what a range pairs by itself has its mate."""
     import pyarrow as pa
@@ -84,12 +98,7 @@ def _sweep(line: DataFrame, tasks: int) -> DataFrame:
             return
         value, kind, ids = (np.concatenate(c) for c in zip(*held))
         del held
-        depth = np.cumsum(1 - 2 * kind.astype(np.int64))
-        level = depth + kind
-        order = np.argsort(level, kind="stable")
-        gap, doc = order[1:], order[:-1]
-        pair = (level[gap] == level[doc]) & (kind[gap] == GAP) & (kind[doc] == DOCUMENT)
-        gap, doc = gap[pair], doc[pair]
+        gap, doc, level = paired(value, kind)
         mate, mate_value, alone = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int32), np.ones(len(ids), bool)
         for mine, other in ((gap, doc), (doc, gap)):
             mate[mine], mate_value[mine], alone[mine] = ids[other], value[other], False
@@ -120,6 +129,59 @@ def _matched(docs: DataFrame, gaps: DataFrame | None, rows: int) -> tuple[DataFr
     return swept, rest
 
 
+def _last_rounds(docs: DataFrame, gaps: DataFrame | None, capacity: int, bundled: bool) -> DataFrame:
+    """state, id, sequence_id, number of a bounded number of rows: all rounds until every document is placed ("placed", with its offset), or,
+    for bundles, until no bundle fits any gap; what is left then comes out as "document" and "gap" with its size."""
+    import pyarrow as pa
+
+    def run(batches):
+        import numpy as np
+
+        held = [[b.column(k).to_numpy(zero_copy_only=False) for k in range(3)] for b in batches if b.num_rows]
+        if not held:
+            return
+        value, kind, ids = (np.concatenate(c).astype(np.int64) for c in zip(*held))
+        docs, gaps = ((value[kind == k], ids[kind == k]) for k in (DOCUMENT, GAP))
+        out = []
+        put = lambda state, i, sequence, number: out.append(pa.table([pa.array([state] * len(i), pa.string()), *(pa.array(c, pa.int64()) for c in (i, sequence, number))], ["state", "id", "sequence_id", "number"]))
+        while len(docs[0]):
+            v, i = np.concatenate((docs[0], gaps[0])), np.concatenate((docs[1], gaps[1]))
+            k = np.repeat([DOCUMENT, GAP], [len(docs[0]), len(gaps[0])])
+            order = np.lexsort((i, k, v))
+            v, i, k = v[order], i[order], k[order]
+            gap, doc, _ = paired(v, k)
+            put("placed", i[doc], i[gap], capacity - v[gap])
+            alone = np.ones(len(v), bool)
+            alone[gap] = alone[doc] = False
+            left = alone & (k == DOCUMENT)
+            docs, gaps = (v[left], i[left]), (v[gap] - v[doc], i[gap])
+            if bundled:
+                other = alone & (k == GAP)
+                gaps = tuple(np.concatenate(x) for x in zip(gaps, (v[other], i[other])))
+            if not len(docs[0]):
+                break
+            wide = gaps[0] >= (1 if bundled else docs[0][0])
+            gaps = gaps[0][wide], gaps[1][wide]
+            if len(gaps[0]) and gaps[0].max() >= docs[0][0]:
+                continue
+            if bundled and len(gaps[0]):
+                break
+            opened = min(len(docs[0]), max(-(-int(docs[0].sum()) // capacity), int((2 * docs[0] > capacity).sum())))
+            size, i = docs[0][-opened:], docs[1][-opened:]
+            put("placed", i, i, np.zeros(opened, np.int64))
+            docs, gaps = (docs[0][:-opened], docs[1][:-opened]), (capacity - size, i)
+        if len(docs[0]):
+            put("document", docs[1], docs[1], docs[0])
+            put("gap", gaps[1], gaps[1], gaps[0])
+        if out:
+            yield from pa.concat_tables(out).to_batches(65536)
+
+    line = docs.select(F.col("size").cast("long").alias("value"), F.lit(DOCUMENT).alias("kind"), "id")
+    if gaps is not None:
+        line = line.unionByName(gaps.select(F.col("size").cast("long").alias("value"), F.lit(GAP).alias("kind"), "id"))
+    return line.repartition(1).mapInArrow(run, "state string, id long, sequence_id long, number long")
+
+
 def _bundles(items: DataFrame, most: int) -> DataFrame:
     """id, item, inner, size: documents shorter than ``most`` that lie side by side share an item of ``most`` tokens at most."""
     import pyarrow as pa
@@ -163,6 +225,18 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     used: list[DataFrame] = []
     gaps, n_gaps = None, 0
     while True:
+        if n + n_gaps <= LAST_ROWS:
+            done = materialize(_last_rounds(docs, gaps, capacity, bundled), "pack-last")
+            used.append(done)
+            placed.append(done.where("state = 'placed'").select("id", "sequence_id", F.col("number").alias("offset")))
+            rest = done.where("state = 'document'")
+            if not bundled or rest.isEmpty():
+                break
+            docs = materialize(members.join(rest.select(F.col("id").alias("item")), "item", "left_semi").select("id", "size"), "pack-loose")
+            gaps, bundled = done.where("state = 'gap'").select("id", F.col("number").alias("size")), False
+            singles.append(docs)
+            n, n_gaps = docs.count(), gaps.count()
+            continue
         swept, rest = _matched(docs, gaps, n + n_gaps)
         used += [swept, rest]
         pairs = swept.unionByName(rest.withColumn("part", F.lit(0)), allowMissingColumns=True).where((F.col("kind") == GAP) & F.col("mate").isNotNull())
@@ -190,7 +264,7 @@ def best_fit(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             placed.append(left.where(first).select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
             docs = left.where(~first).select("id", F.col("value").alias("size"))
             gaps = left.where(first).select("id", (capacity - F.col("value")).alias("size")).where("size > 0")
-            n_gaps = opened
+            n, n_gaps = n - opened, opened
     places = placed[0]
     for more in placed[1:]:
         places = places.unionByName(more)

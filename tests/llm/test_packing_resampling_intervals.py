@@ -89,11 +89,11 @@ SIZES = {
 
 
 @pytest.mark.parametrize("kind", SIZES)
-@pytest.mark.parametrize("per_task", [250_000, 300])
-def test_packing_is_nearly_as_tight_as_one_sequential_best_fit(spark, monkeypatch, kind, per_task):
-    if per_task == 300 and kind in ("short", "tiny", "single"):
-        pytest.skip("one of them is enough")
+@pytest.mark.parametrize("last, per_task", [(50_000, 250_000), (400, 300)])
+def test_packing_is_nearly_as_tight_as_one_sequential_best_fit(spark, monkeypatch, kind, last, per_task):
+    """In one task, and in rounds of several tasks down to the last few rows."""
     monkeypatch.setattr(packing, "ROWS_PER_TASK", per_task)
+    monkeypatch.setattr(packing, "LAST_ROWS", last)
     sizes = SIZES[kind]
     items = spark.createDataFrame(list(enumerate(sizes)), "id long, size long").repartition(3)
     rows = packing.best_fit(items).collect()
