@@ -6,7 +6,7 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -40,3 +40,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     path = f"{shared_folder(spark)}/sentrylake-{name}-{uuid.uuid4().hex}"
     atexit.register(delete, spark, path)
     return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: lineage ends there, and what was drawn or numbered stays as it is."""
+    path, schema = scratch_folder(df.sparkSession, name), df.schema
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)

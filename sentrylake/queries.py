@@ -53,7 +53,7 @@ kev AS (SELECT * FROM r WHERE o_orderpriority = '1-URGENT' AND good_id AND added
         QUALIFY row_number() OVER (PARTITION BY cve_id ORDER BY v DESC) = 1),
 item AS (SELECT cve_id, modified, substr('aoh', (l_partkey % 3 + 1)::INT, 1) AS part, CASE WHEN l_partkey % 83 = 0 THEN '*' ELSE 'Supplier_' || (l_suppkey % 40) END AS vendor,
            CASE WHEN l_partkey % 71 = 0 THEN 'foo:' ELSE '' END || replace(p_name, ' ', '_') AS product, l_linenumber::VARCHAR AS version, l_returnflag <> 'R' AS vulnerable,
-           CASE WHEN l_partkey % 2 = 0 THEN l_suppkey::VARCHAR END AS bound, l_partkey % 83 <> 0 AS good_item, l_suppkey % 5 = 1 AS foreign_text, l_partkey
+           CASE WHEN l_partkey % 2 = 0 THEN l_suppkey::VARCHAR END AS bound, l_partkey % 83 <> 0 AS good_item, l_suppkey % 5 = 1 AS foreign_text, l_partkey, l_suppkey, l_linenumber
          FROM newest JOIN lineitem ON l_orderkey = k JOIN part ON l_partkey = p_partkey),
 prod AS (SELECT *, lower(trim(vendor)) AS fv, lower(trim(product)) AS fp FROM item WHERE good_item
          QUALIFY row_number() OVER (PARTITION BY cve_id, part, vendor, product, version ORDER BY vulnerable DESC, bound DESC NULLS LAST) = 1),

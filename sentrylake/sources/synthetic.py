@@ -46,7 +46,12 @@ def _criteria(spark: SparkSession, sf_dir: str) -> DataFrame:
     vendor = F.when(_every(83, "l_partkey"), "*").otherwise(F.concat(F.lit("Supplier_"), F.col("l_suppkey") % 40))
     product = F.concat(F.when(_every(71, "l_partkey"), "foo\\:").otherwise(""), F.replace("p_name", F.lit(" "), F.lit("_")))
     criteria = F.concat_ws(":", F.lit("cpe:2.3"), part, vendor, product, F.col("l_linenumber").cast("string"), *([F.lit("*")] * 7))
-    match = F.struct((F.col("l_returnflag") != "R").alias("vulnerable"), criteria.alias("criteria"), F.when(_every(2, "l_partkey"), F.col("l_suppkey").cast("string")).alias("versionEndExcluding"))
+    dotted = lambda n, of: F.concat(n.cast("string"), F.lit("."), (F.col("l_suppkey") % of).cast("string"))
+    bounds = [
+        F.when(_every(3, "l_partkey"), dotted(F.col("l_linenumber") % 4, 15)).alias("versionStartIncluding"), F.when(F.col("l_partkey") % 15 == 1, F.concat((F.col("l_linenumber") % 4).cast("string"), F.lit(".0rc"))).alias("versionStartExcluding"),
+        F.when((F.col("l_partkey") % 2 == 1) & ~_every(5, "l_partkey"), dotted(F.col("l_linenumber") + 1, 12)).alias("versionEndIncluding"), F.when(_every(2, "l_partkey"), F.col("l_suppkey").cast("string")).alias("versionEndExcluding"),
+    ]
+    match = F.struct((F.col("l_returnflag") != "R").alias("vulnerable"), criteria.alias("criteria"), *bounds)
     name = F.when(_every(29, "l_partkey"), "NVD-CWE-noinfo").when(_every(31, "l_partkey"), "NVD-CWE-Other").when(_every(37, "l_partkey"), "Use after free").otherwise(F.concat(F.lit("CWE-"), F.col("l_partkey") % 50 + 1))
     weakness = F.struct(F.lit("Primary").alias("type"), F.array(F.struct(F.when(F.col("l_suppkey") % 5 == 1, "es").otherwise("en").alias("lang"), name.alias("value"))).alias("description"))
     return each.groupBy(F.col("l_orderkey").alias("k")).agg(F.collect_list(match).alias("matches"), F.collect_list(weakness).alias("weaknesses"))
