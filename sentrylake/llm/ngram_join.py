@@ -5,13 +5,12 @@
    smallest doc_id, so that equal ids on different texts stay apart.
 2. Band and row counts are chosen for the target recall at the threshold; classes meet in the buckets
    of their band hashes. A pair is a link if it shares a bucket and its similarity, on the full sets,
-   reaches the threshold. That is the law at every size.
+   reaches the threshold. In groups of more than BLOCKS blocks pairs with one home count as well without a bucket.
 3. What a pair of classes needs to meet only settles what travels: classes that buckets chain together
-   are one group, so that each class travels once; groups that would need many blocks are left as their
-   buckets, where a pair counts in the first band that it shares. Groups and buckets are cut into blocks
-   bounded by classes and by shingles, and every pair of blocks is a unit of work of its own, so no task
-   holds a large group. A unit gets its classes' texts, which travel smaller than their sets, and returns
-   one row per class, with its links and one neighbour, and never a row per pair.
+   are one group, cut into blocks bounded by classes and by shingles, and every pair of blocks is a unit of work of its own. A unit
+   gets its classes' texts, which travel smaller than their sets, and returns one row per class, with its links and one neighbour, and
+   never a row per pair. Groups of more than BLOCKS blocks go by ``near_groups`` instead, where a text is sent once to a reference and
+   pairs are settled by their differences from it.
 4. The groups are the connected components over these neighbours, found by alternating star
    operations on distributed edges.
 """
@@ -26,12 +25,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import near_groups
 from .common import discard, give_back, map_texts, materialize, small_batches
 
 #: Words of a shingle, least similarity, and the least chance that a pair of that similarity shares a band.
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.9999
-#: Hash functions at most; classes and shingles of one block, about; blocks of a group that isn't left as buckets.
-HASHES, BLOCK, SHINGLES, BLOCKS = 128, 256, 1 << 20, 16
+#: Hash functions at most; classes and shingles of one block, about; blocks of a group whose texts meet each other: each is sent so often at most.
+HASHES, BLOCK, SHINGLES, BLOCKS = 128, 256, 1 << 20, 4
 #: Rows of the broadcast table of hashes at most: 4 bytes each.
 FILTER = 1 << 20
 #: Edges from which on a node counts as a hub, at least; hubs at most, which are broadcast: 16 bytes each.
@@ -144,44 +144,33 @@ def blocks_of(n: Column, shingles: Column) -> Column:
     return F.greatest(F.ceil(n / BLOCK), F.ceil(shingles / SHINGLES)).cast("int")
 
 
-def gathered(members: DataFrame, classes: DataFrame) -> DataFrame:
-    """key, band, blocks, node: the classes whose pairs are verified together.
-
-    Classes that meet in any bucket, directly or through others, are one group of band -1, and each class is in
-    one such group only. Groups of more than BLOCKS blocks, where chance meetings may have chained much
-    together, are left as their buckets, without those that hold the same classes as one of an earlier band.
-    """
+def gathered(members: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, blocks, node: the classes that meet in any bucket, directly or through others, each in one group; key, low, node, n_shingles:
+    the buckets of those in groups of more than BLOCKS blocks)."""
     chains = connected_components(members.select(F.col("node").alias("a"), F.col("low").alias("b")).where("a <> b"))
     chained = materialize(chains.join(classes.select("node", "n_shingles"), "node"), "chains")
     discard(chains)
     sizes = chained.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("shingles"))
-    sized = chained.join(sizes.select("component", blocks_of(F.col("n"), F.col("shingles")).alias("blocks")), "component")
-    whole = sized.where(F.col("blocks") <= BLOCKS).select(F.col("component").alias("key"), F.lit(-1).alias("band"), "blocks", "node")
-    large = members.join(sized.where(F.col("blocks") > BLOCKS).select("node", "n_shingles"), "node").join(classes.select("node", "bands"), "node")
-    large = large.select("key", "n", "node", "n_shingles", (F.array_position("bands", F.col("key")) - 1).cast("int").alias("band"))
-    marks = [F.bit_xor(F.xxhash64(F.lit(k), F.col("node"))).alias(f"mark{k}") for k in (1, 2)]
-    held = large.groupBy("key", "band", "n").agg(F.sum("n_shingles").alias("shingles"), *marks)
-    alike = held.groupBy("n", "mark1", "mark2").agg(F.min(F.struct("band", "key")).alias("b"), F.max("shingles").alias("shingles"))
-    kept = alike.select(F.col("b.key").alias("key"), blocks_of(F.col("n"), F.col("shingles")).alias("blocks"))
-    groups = materialize(whole.unionByName(large.select("key", "band", "node").join(kept, "key").select("key", "band", "blocks", "node")), "groups")
+    sized = materialize(chained.join(sizes.select("component", blocks_of(F.col("n"), F.col("shingles")).alias("blocks")), "component"), "groups")
     discard(chained)
-    return groups
+    whole = sized.where(F.col("blocks") <= BLOCKS).select(F.col("component").alias("key"), "blocks", "node")
+    return whole, members.join(sized.where(F.col("blocks") > BLOCKS).select("node", "n_shingles"), "node").select("key", "low", "node", "n_shingles")
 
 
 def units(members: DataFrame) -> DataFrame:
-    """Deals the members to pairs of blocks: key, band, i, j (i <= j), side, and their other columns. One block is one unit."""
+    """Deals the members to pairs of blocks: key, i, j (i <= j), side, and their other columns. One block is one unit."""
     mine = F.pmod(F.xxhash64(F.lit(3), F.col("node")), F.col("blocks")).cast("int")
     m = members.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     m = m.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other")).withColumn("side", (F.col("mine") > F.col("other")).cast("int"))
     return m.drop("blocks", "mine", "other")
 
 
-def verify_unit(band: int, apart: bool, node: np.ndarray, side: np.ndarray, copies: np.ndarray, keys: list[list[int]], sets: list[np.ndarray], threshold: float = THRESHOLD) -> Iterable[tuple[int, int, int]]:
+def verify_unit(band: int, apart: bool, node: np.ndarray, side: np.ndarray, copies: np.ndarray, keys: list[list[int]], sets: list[np.ndarray], homes: np.ndarray | None = None, threshold: float = THRESHOLD) -> Iterable[tuple[int, int, int]]:
     """(node, neighbour, links) of each class with a link in the unit: the copies of all classes that it is linked to,
     and the smallest class that these links reach. ``apart``: only pairs across the two sides count.
 
     keys: in a group (band -1) the hashes of all bands, of which a pair that counts shares one or more; in a bucket those of the
-    earlier bands, of which it shares none."""
+    earlier bands, of which it shares none, and only classes of different ``homes`` count."""
     n, rep = len(node), node
     shared_band = np.zeros((n, n), bool)
     for column in np.array(keys, np.int64).reshape(n, -1).T:
@@ -190,6 +179,8 @@ def verify_unit(band: int, apart: bool, node: np.ndarray, side: np.ndarray, copi
     wanted &= np.triu(np.ones((n, n), bool), 1)
     if apart:
         wanted &= side[:, None] != side[None]
+    if band >= 0 and homes is not None:
+        wanted &= homes[:, None] != homes[None]
     links, parent = np.zeros(n, np.int64), np.arange(n)
 
     def root(a: int) -> int:
@@ -244,18 +235,18 @@ def _verified(dealt: DataFrame) -> DataFrame:
 
         def done():
             if len(rows) > 1:
-                node, side, copies, keys, sets = zip(*rows)
-                out.extend(verify_unit(unit[1], unit[2] != unit[3], np.array(node), np.array(side), np.array(copies), keys, sets))
+                node, side, copies, keys, home, sets = zip(*rows)
+                out.extend(verify_unit(unit[1], unit[2] != unit[3], np.array(node), np.array(side), np.array(copies), keys, sets, np.array(home)))
 
         for batch in batches:
-            columns = [batch.column(c) for c in ("key", "band", "i", "j", "node", "side", "copies", "keys", "text")]
+            columns = [batch.column(c) for c in ("key", "band", "i", "j", "node", "side", "copies", "keys", "home", "text")]
             for at in range(batch.num_rows):
                 v = [c[at].as_py() for c in columns]
                 if tuple(v[:4]) != unit:
                     done()
                     unit, rows = tuple(v[:4]), []
                 if not rows or rows[-1][0] != v[4]:  # repeated rows of a class's first document count once
-                    rows.append((*v[4:8], shingle_set(v[8])))
+                    rows.append((*v[4:9], shingle_set(v[9])))
             if len(out) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
                 out.clear()
@@ -320,17 +311,27 @@ def linked_classes(signed: DataFrame, texts: Column) -> DataFrame:
     known = signed.where(F.col("doc_id").isNotNull())
     classes = numbered_classes(known)
     met = materialize(buckets(classes.where(F.col("bands").isNotNull())), "buckets")
-    members = gathered(met, classes)
-    discard(met)
-    keys = F.when(F.col("band") < 0, F.col("bands")).otherwise(F.slice("bands", F.lit(1), F.greatest("band", F.lit(0))))
-    dealt = units(members.join(classes.select("node", "class_key", "rep", "copies", "bands"), "node").withColumn("keys", keys).drop("bands"))
+    whole, large = gathered(met, classes)
+    columns = ["key", "band", "i", "j", "side", "node", "home"]
+    small = units(whole).withColumns({"band": F.lit(-1), "home": F.lit(-1).cast("long")}).select(*columns)
     # Most texts are in no group; a table of hashes that can't outgrow FILTER rows keeps them out of the exchange.
     slot = F.pmod(F.xxhash64("class_key"), F.lit(FILTER)).cast("int").alias("slot")
-    wanted = members.select("node").distinct().join(classes.select("node", "class_key"), "node").select(slot).distinct()
+    wanted = met.select("node").distinct().join(classes.select("node", "class_key"), "node").select(slot).distinct()
     texts = known.select("class_key", F.col("doc_id").alias("rep"), texts.alias("text"), slot).join(F.broadcast(wanted), "slot", "left_semi").drop("slot")
+    found = []
+    if not large.isEmpty():
+        placed = near_groups.homes(large, connected_components)
+        of_node = classes.select("node", "class_key", "rep").join(placed.select("node"), "node", "left_semi").join(texts, ["class_key", "rep"]).select("node", "text")
+        found = near_groups.inside(placed, of_node, classes.select("node", "copies"), units, shingle_set, THRESHOLD)
+        strange = near_groups.across(large, placed, blocks_of).join(classes.select("node", "bands"), "node")
+        small = small.unionByName(strange.withColumn("band", (F.array_position("bands", F.col("key")) - 1).cast("int")).select(*columns))
+    keys = F.when(F.col("band") < 0, F.col("bands")).otherwise(F.slice("bands", F.lit(1), F.greatest("band", F.lit(0))))
+    dealt = small.join(classes.select("node", "class_key", "rep", "copies", "bands"), "node").withColumn("keys", keys).drop("bands")
     dealt = dealt.join(texts, ["class_key", "rep"]).drop("class_key", "rep").repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "node")
     verified = materialize(_verified(dealt), "links")
-    discard(members)
+    for more in found:
+        verified = verified.unionByName(more)
+    discard(met)
 
     linked = verified.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected_components(verified.select(F.col("node").alias("a"), F.col("neighbour").alias("b")).where("a <> b"))
@@ -374,7 +375,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     signed = materialize(signatures(docs, docs.columns, *choose_bands()), "signed-rows")
     leaders = linked_classes(signed, F.col("row")["text"]).where("leader").select("class_key", F.col("rep").alias("doc_id"), "times")
     known = signed.where(F.col("doc_id").isNotNull()).select("class_key", "doc_id", "row")
-    one = known.join(leaders.where("times = 1").hint("shuffle_hash"), ["class_key", "doc_id"]).select("row")
+    one = known.join(leaders.where("times = 1"), ["class_key", "doc_id"]).select("row")
     order = [F.col("row")[c] for c in ("source", "lang", "text") if c in docs.columns]
-    again = known.join(leaders.where("times > 1").hint("shuffle_hash"), ["class_key", "doc_id"]).groupBy("class_key", "doc_id").agg(F.min_by("row", F.struct(*order)).alias("row")).select("row")
+    again = known.join(leaders.where("times > 1"), ["class_key", "doc_id"]).groupBy("class_key", "doc_id").agg(F.min_by("row", F.struct(*order)).alias("row")).select("row")
     return one.unionByName(again).unionByName(signed.where(F.col("doc_id").isNull()).select("row")).select(*[F.col("row")[c].alias(c) for c in docs.columns])
