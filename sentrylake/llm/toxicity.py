@@ -35,7 +35,7 @@ EXAMPLES, EXAMPLE_BYTES, BLOCK = 3000, 64 << 20, 64
 #: Numbers of neighbours and powers of the cosine to choose from.
 NEIGHBOURS, POWERS = (20, 50, 100), (1, 2, 4)
 #: Terms of the most examples, whose weights lie in dense blocks; the others lie in postings.
-DENSE = 2048
+DENSE = 512
 #: Blocks that a query scores before it has a k-th best; queries that are searched together.
 FIRST, TOGETHER = 4, 128
 #: Terms in more than one of so many documents go to each task; there are as many times this as a document has terms, at most.
@@ -88,9 +88,7 @@ class BlockMaxIndex:
     starts: np.ndarray  # of each other term in the postings
     example: np.ndarray  # postings: place in the order
     weight: np.ndarray
-    begins: np.ndarray  # of each example, in the order, in terms and weights
-    terms: np.ndarray
-    weights: np.ndarray
+    rows: np.ndarray  # places x dense terms: the dense weights once more, in double precision
 
     @classmethod
     def build(cls, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int) -> BlockMaxIndex:
@@ -107,17 +105,18 @@ class BlockMaxIndex:
             lead.append((int(t[own[np.argmax(w[own])]]) if len(own) else n_terms, i))
         order = np.array([i for _, i in sorted(lead)], np.int64)
         n_blocks = max(1, -(-n // BLOCK))
-        begins = np.concatenate(([0], np.cumsum(sizes[order]))).astype(np.int64) if n else np.zeros(1, np.int64)
         terms = np.concatenate([vectors[i][0] for i in order]).astype(np.intp) if n else terms
         weights = np.concatenate([vectors[i][1] for i in order]) if n else np.zeros(0)
         at = np.repeat(np.arange(n), sizes[order]) if n else np.zeros(0, np.int64)
         dense = np.zeros((n_blocks, max(1, len(often)), BLOCK), np.float32)
         held = row[terms] >= 0
         dense[at[held] // BLOCK, row[terms[held]], at[held] % BLOCK] = weights[held]
+        rows = np.zeros((n, max(1, len(often))))
+        rows[at[held], row[terms[held]]] = weights[held]
         rest = np.flatnonzero(~held)
         rest = rest[np.argsort(terms[rest], kind="stable")]
         starts = np.concatenate(([0], np.cumsum(np.bincount(terms[rest], minlength=max(n_terms, 1)))))
-        return cls(n, order, row, dense, np.ascontiguousarray(dense.max(2).T), starts, at[rest], weights[rest], begins, terms, weights)
+        return cls(n, order, row, dense, np.ascontiguousarray(dense.max(2).T), starts, at[rest], weights[rest], rows)
 
     def search(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None) -> list[tuple[np.ndarray, np.ndarray, int]]:
         """For each query (terms, weights) the numbers and cosines of the k nearest examples with a cosine above 0 (ties: the
@@ -141,10 +140,11 @@ class BlockMaxIndex:
         rare = row < 0
         lo, n = self.starts[terms[rare]], self.starts[terms[rare] + 1] - self.starts[terms[rare]]
         post = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        score = np.bincount(np.repeat(who[rare] * width, n) + self.example[post], np.repeat(weights[rare], n) * self.weight[post], m * width)
-        score = score.astype(np.float32).reshape(m, n_blocks, BLOCK)
-        heavy = np.zeros((m, self.bound.shape[0]), np.float32)
-        heavy[who[~rare], row[~rare]] = weights[~rare]
+        posted = np.bincount(np.repeat(who[rare] * width, n) + self.example[post], np.repeat(weights[rare], n) * self.weight[post], m * width).reshape(m, width)
+        score = posted.astype(np.float32).reshape(m, n_blocks, BLOCK)
+        exactly = np.zeros((m, self.bound.shape[0]))
+        exactly[who[~rare], row[~rare]] = weights[~rare]
+        heavy = exactly.astype(np.float32)
         # The postings are added up already, so that their largest sum is the bound of their part.
         bounds = score.max(2) + heavy @ self.bound
         alive = np.zeros((m, n_blocks), bool)
@@ -167,18 +167,12 @@ class BlockMaxIndex:
         least, scored = np.maximum(worst() - 1e-5, 0), alive.sum(1)
         score[~alive] = 0
         near, out = score.reshape(m, width)[:, : self.n] > least[:, None], []
-        query = np.zeros(len(self.row))
-        for i, (own, heft) in enumerate(queries):
+        for i in range(m):
             places = np.flatnonzero(near[i])
             if not len(places):
                 out.append((np.zeros(0, np.int64), np.zeros(0), int(scored[i])))
                 continue
-            query[own] = heft
-            spans = [slice(a, b) for a, b in zip(self.begins[places].tolist(), self.begins[places + 1].tolist())]
-            start = np.cumsum([0, *(x.stop - x.start for x in spans[:-1])])
-            held = query.take(np.concatenate([self.terms[x] for x in spans]), mode="clip")
-            exact = np.add.reduceat(held * np.concatenate([self.weights[x] for x in spans]), start)
-            query[own] = 0
+            exact = posted[i, places] + self.rows[places] @ exactly[i]
             number = self.order[places]
             mine = (number != skip[i]) & (exact > 0)
             number, exact = number[mine], exact[mine]
