@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from . import queries as Q
 from .functions import keys as K
 from .functions.versions import version_key
-from .operators import history, ranges, shape
+from .operators import history, ranges, shape, star
+from .plans import analytics
 from .plans.maintained import CountedState, difference
-from .plans.scratch import scratch_folder
+from .plans.scratch import scratch_folder, stored
 from .queries import LOADED, bronze, kev, query, shown, table
 from .sources import synthetic
+from .streaming.sessions import stream_sessions
 
 # The key of a version, as functions.versions spells it.
 _KEY = """CASE WHEN regexp_matches({0}, '[0-9a-zA-Z]') THEN regexp_replace(array_to_string(list_transform(regexp_extract_all(lower({0}), '([0-9]+|[a-z]+)'),
@@ -155,3 +157,89 @@ def maintained_months(spark, sf_dir):
         old = before.join(sent, "cve_id", "left_semi")
         state.apply(difference(rows(old), rows(old.unionByName(half)), columns))
     return state.groups(made, cves=F.sum("n"), least_score=F.min("score"), greatest_score=F.max("score"), severities=F.count_distinct("severity_key"))
+
+
+# Levels, frames, sketches and samples.
+@query("""SELECT year(published)::INT AS year, severity_key, vendor, GROUPING(year(published)::INT, severity_key, vendor)::INT AS level, count(DISTINCT bp.cve_id) AS n
+  FROM bp JOIN (SELECT cve_id, published FROM fact) AS f ON bp.cve_id = f.cve_id
+  GROUP BY GROUPING SETS ((year(published)::INT, severity_key, vendor), (year(published)::INT, severity_key), (year(published)::INT, vendor), (vendor), (year(published)::INT), ())""")
+def report_levels(spark, sf_dir):
+    """Records by year, severity and vendor with subtotals; a record of several vendors counts once in each total."""
+    b = Q.bridge_products(spark, sf_dir).join(star.dim_vendor_product(Q.products(spark, sf_dir), Q.RUN, LOADED), "vendor_product_key")
+    rows = b.select(F.floor(F.col("published_date_key") / 10000).cast("int").alias("year"), "severity_key", "vendor", "cve_id")
+    levels = [["year", "severity_key", "vendor"], ["year", "severity_key"], ["year", "vendor"], ["vendor"], ["year"], []]
+    return analytics.distinct_by_levels(rows, ["year", "severity_key", "vendor"], levels, "cve_id")
+
+
+@query("""SELECT vendor, strftime(day, '%Y-%m-%d') AS day, n, (sum(n) OVER (w RANGE BETWEEN 29 PRECEDING AND CURRENT ROW))::BIGINT AS last_30, (sum(n) OVER (w RANGE BETWEEN 89 PRECEDING AND CURRENT ROW))::BIGINT AS last_90,
+    (sum(n) OVER (w RANGE UNBOUNDED PRECEDING))::BIGINT AS total, (day - lag(day) OVER w)::INT AS days_since
+  FROM (SELECT bp.vendor, f.published AS day, count(*) AS n, (f.published - DATE '1970-01-01')::INT AS d FROM bp JOIN fact AS f ON bp.cve_id = f.cve_id GROUP BY ALL) WINDOW w AS (PARTITION BY vendor ORDER BY d)""")
+def report_moving(spark, sf_dir):
+    """How many products of each vendor were named in the last 30 and 90 days, day by day."""
+    b = Q.bridge_products(spark, sf_dir).join(star.dim_vendor_product(Q.products(spark, sf_dir), Q.RUN, LOADED), "vendor_product_key")
+    rows = b.select("vendor", F.to_date(F.col("published_date_key").cast("string"), "yyyyMMdd").alias("day"))
+    return analytics.moving(analytics.daily(rows, ["vendor"], "day"), ["vendor"], "day").withColumn("day", F.col("day").cast("string"))
+
+
+@query("SELECT kind, strftime(ts, '%Y-%m') AS month, count(DISTINCT client_id) AS clients, true AS within FROM clicks WHERE ts IS NOT NULL AND client_id IS NOT NULL GROUP BY ALL", prelude=False)
+def sketched_clients(spark, sf_dir):
+    """Clients per kind and month from stored sketches per kind and day, held against the exact number."""
+    known = table(spark, sf_dir, "clicks").where("ts IS NOT NULL AND client_id IS NOT NULL")
+    rows = known.select("kind", F.to_date("ts").alias("day"), "client_id")
+    held = stored(analytics.sketches(rows, ["kind", "day"], "client_id"), "click-sketches")
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    near = analytics.merged_counts(held.select("kind", month, "sketch"), ["kind", "month"], "near").withColumnsRenamed({"kind": "k", "month": "m"})
+    exact = rows.select("kind", month, "client_id").groupBy("kind", "month").agg(F.count_distinct("client_id").alias("clients"))
+    both = exact.join(near, F.col("kind").eqNullSafe(F.col("k")) & (F.col("month") == F.col("m")))
+    return both.select("kind", "month", "clients", (F.abs(F.col("near") - F.col("clients")) <= analytics.error_bound(F.col("clients"))).alias("within"))
+
+
+@query("""SELECT sale_id, status, priority, weight FROM (SELECT sale_id, status, priority, count(*) OVER w / least(count(*) OVER w, 50)::DOUBLE AS weight,
+  row_number() OVER (PARTITION BY status, priority ORDER BY sha256('0:' || sale_id)) AS place FROM sales WINDOW w AS (PARTITION BY status, priority)) WHERE place <= 50""", prelude=False)
+def sampled_sales(spark, sf_dir):
+    """Fifty sales of each status and priority, with what each stands for."""
+    return analytics.bottom_k(table(spark, sf_dir, "sales").select("sale_id", "status", "priority"), ["status", "priority"], F.col("sale_id"), 50)
+
+
+@query("""WITH e AS (SELECT DISTINCT click_id, client_id, ts FROM clicks WHERE client_id IS NOT NULL AND ts IS NOT NULL),
+f AS (SELECT *, CASE WHEN ts <= lag(ts) OVER w + INTERVAL 15 MINUTE THEN 0 ELSE 1 END AS fresh FROM e WINDOW w AS (PARTITION BY client_id ORDER BY ts)),
+g AS (SELECT *, sum(fresh) OVER (PARTITION BY client_id ORDER BY ts) AS session FROM f)
+SELECT client_id, epoch_us(min(ts)) AS first, epoch_us(max(ts)) AS last, count(*) AS n FROM g GROUP BY client_id, session""", prelude=False)
+def streamed_sessions(spark, sf_dir):
+    """Sessions of the clicks, replayed in the order of their arrival in five files and two runs on one checkpoint. The watermark waits as long as the latest click was late."""
+    clicks = table(spark, sf_dir, "clicks").select("click_id", "client_id", "ts", F.coalesce("arrived_at", "ts").alias("arrived")).where("ts IS NOT NULL AND client_id IS NOT NULL")
+    seconds = lambda c: F.unix_timestamp(F.col(c).cast("timestamp"))
+    late, ends = clicks.agg(F.max(seconds("arrived") - seconds("ts")).alias("late"), F.max("ts").alias("ends")).first()
+    delay = f"{max(0, late or 0) + 2} seconds"
+    cuts = clicks.select(F.percentile_approx(seconds("arrived"), [0.2, 0.4, 0.6, 0.8])).first()[0] or []
+    folder, out, checkpoint = (scratch_folder(spark, f"sessions-{x}") for x in ("events", "out", "checkpoint"))
+    part = sum((F.when(seconds("arrived") > c, 1).otherwise(0) for c in cuts), F.lit(0))
+    events = clicks.withColumn("part", part).drop("arrived")
+    run = lambda: stream_sessions(spark, folder, events.drop("part").schema, out, checkpoint, "client_id", "ts", ["click_id", "client_id", "ts"], "15 minutes", delay, 64).awaitTermination()
+    for number in range(len(cuts) + 1):
+        events.where(F.col("part") == number).drop("part").write.parquet(f"{folder}/{number}")
+        if number == 2:
+            run()
+    # One event long after all others lets the watermark pass every session; it is none itself.
+    if ends is not None:
+        after = (F.lit(ends) + F.make_dt_interval(F.lit(3), F.lit(0), F.lit(0), F.lit(2.0 * (late or 0)))).cast(events.schema["ts"].dataType)
+        spark.range(1).select(F.lit(-1).cast("long").alias("click_id"), F.lit(-1).cast("long").alias("client_id"), after.alias("ts")).write.parquet(f"{folder}/end")
+    run()
+    run()
+    found = spark.read.schema("client_id long, first timestamp, last timestamp, n long").parquet(out)
+    return found.where("client_id <> -1").select("client_id", F.unix_micros("first").alias("first"), F.unix_micros("last").alias("last"), "n")
+
+
+@query("""SELECT strftime(ts, '%Y-%m') AS month, count(DISTINCT CASE WHEN kind = 'purchase' THEN client_id END) AS buyers,
+  (SELECT count(*) FROM (SELECT client_id FROM clicks AS a WHERE kind = 'purchase' AND strftime(a.ts, '%Y-%m') = strftime(c.ts, '%Y-%m') AND client_id IS NOT NULL INTERSECT SELECT client_id FROM clicks AS b WHERE kind = 'error' AND strftime(b.ts, '%Y-%m') = strftime(c.ts, '%Y-%m'))) AS troubled, true AS within
+  FROM clicks AS c WHERE ts IS NOT NULL AND client_id IS NOT NULL GROUP BY ALL""", prelude=False)
+def sketched_overlaps(spark, sf_dir):
+    """Clients who bought and met an error in one month, from stored theta sketches per day, held against the exact number."""
+    known = table(spark, sf_dir, "clicks").where("ts IS NOT NULL AND client_id IS NOT NULL AND kind IN ('purchase', 'error')").select("kind", F.to_date("ts").alias("day"), "client_id")
+    held = stored(known.groupBy("kind", "day").agg(F.theta_sketch_agg("client_id").alias("sketch")), "theta-sketches")
+    month = F.date_format("day", "yyyy-MM").alias("month")
+    one = lambda kind: F.theta_union_agg(F.when(F.col("kind") == kind, F.col("sketch")))
+    merged = held.groupBy(month).agg(one("purchase").alias("p"), one("error").alias("e")).select(F.col("month").alias("m"), F.theta_sketch_estimate(F.theta_intersection("p", "e")).alias("near"), F.theta_sketch_estimate(F.theta_union("p", "e")).alias("all"))
+    per = known.groupBy(month, "client_id").agg(F.max(F.col("kind") == "purchase").alias("p"), F.max(F.col("kind") == "error").alias("e"))
+    exact = per.groupBy("month").agg(F.count_if("p").alias("buyers"), F.count_if(F.col("p") & F.col("e")).alias("troubled"))
+    return exact.join(merged, F.col("month") == F.col("m")).select("month", "buyers", "troubled", (F.abs(F.col("near") - F.col("troubled")) <= 4 * F.col("all") / 64 + 1).alias("within"))

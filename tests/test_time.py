@@ -165,3 +165,59 @@ def test_the_least_value_comes_back_when_it_goes(spark, tmp_path):
         state.apply(difference(f(gone), f(), ["g", "v"]))
         assert state.groups(f(), least=F.min("v")).first()["least"] == least
     assert {tuple(x) for x in state.rows(f()).collect()} == {(1, 3, 1)}
+
+
+# Streams.
+def test_a_stream_of_sessions_goes_on_from_its_checkpoint_and_drops_what_is_too_late(spark, tmp_path):
+    import datetime as dt
+
+    from sentrylake.streaming.sessions import stream_sessions
+
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    schema = spark.createDataFrame([], "id long, key long, at timestamp").schema
+    folder, out, checkpoint = (str(tmp_path / x) for x in ("in", "out", "checkpoint"))
+
+    def take(number, *rows):
+        if rows:
+            spark.createDataFrame([(i, k, None if m is None else at(m)) for i, k, m in rows], schema).coalesce(1).write.parquet(f"{folder}/{number}")
+        stream_sessions(spark, folder, schema, out, checkpoint, "key", "at", ["id"], "10 minutes", "30 minutes").awaitTermination()
+        return sorted((r["key"], r["first"], r["last"], r["n"]) for r in spark.read.schema("key long, first timestamp, last timestamp, n long").parquet(out).collect())
+
+    assert take(0, (1, 7, 0), (2, 7, 10), (2, 7, 10), (3, 8, 5), (4, None, 5), (5, 7, None)) == []
+    assert take(1, (6, 7, 5), (7, 7, 100)) == [(7, at(0), at(10), 3), (8, at(5), at(5), 1)]
+    assert take(2) == [(7, at(0), at(10), 3), (8, at(5), at(5), 1)]
+    # 55 is beyond the watermark (70) and dropped; 95 is late, but not too late.
+    assert take(3, (8, 7, 55), (9, 7, 95), (10, 9, 200)) == [(7, at(0), at(10), 3), (7, at(95), at(100), 2), (8, at(5), at(5), 1)]
+    assert take(4) == take(5)
+
+
+# Levels, frames and samples.
+def test_levels_tell_nulls_from_totals(spark):
+    rows = [(2001, None, 1), (2001, "a", 1), (2001, "a", 2), (None, "a", 2), (2002, "b", None)]
+    from sentrylake.plans import analytics
+
+    found = analytics.distinct_by_levels(spark.createDataFrame(rows, "y int, v string, id int"), ["y", "v"], [["y", "v"], ["v"], []], "id")
+    assert Counter(map(tuple, found.collect())) == Counter([(2001, None, 0, 1), (2001, "a", 0, 2), (None, "a", 0, 1), (None, None, 2, 1), (None, "a", 2, 2), (None, None, 3, 2)])
+
+
+def test_samples_of_parts_hold_the_sample_of_all(spark):
+    from sentrylake.plans import analytics
+
+    rows = spark.range(600).select("id", F.when(F.col("id") % 7 != 0, F.col("id") % 3).alias("s"))
+    draw = lambda df: analytics.bottom_k(df, ["s"], F.col("id"), 20)
+    whole = draw(rows).collect()
+    parts = draw(rows.where("id % 2 = 0")).unionByName(draw(rows.where("id % 2 = 1"))).drop("weight")
+    assert {r["id"] for r in draw(parts).collect()} == {r["id"] for r in whole}
+    assert len(whole) == 80 and sum(r["weight"] for r in whole) == pytest.approx(600)
+    assert draw(rows.where("id < 5")).agg(F.max("weight")).first()[0] == 1
+
+
+def test_frames_are_ranges_of_days(spark):
+    import datetime as dt
+
+    from sentrylake.plans import analytics
+
+    day = lambda n: dt.date(2024, 2, 1) + dt.timedelta(days=n)
+    rows = spark.createDataFrame([("a", day(0)), ("a", day(0)), ("a", day(29)), ("a", day(30)), ("b", day(5)), ("a", None)], "k string, d date")
+    found = analytics.moving(analytics.daily(rows, ["k"], "d"), ["k"], "d")
+    assert sorted(map(tuple, found.collect())) == [("a", day(0), 2, 2, 2, 2, None), ("a", day(29), 1, 3, 3, 3, 29), ("a", day(30), 1, 2, 4, 4, 1), ("b", day(5), 1, 1, 1, 1, None)]
