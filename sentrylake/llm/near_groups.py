@@ -1,6 +1,6 @@
 """Links inside very large groups of near copies, without every text meeting every other.
 
-1. A class's home is the class that most of its buckets have as their smallest one, followed to the end: near copies of one text share a
+1. A class's home is the class that most of its buckets have as their smallest one, followed on: near copies of one text share a
    home, what met by chance does not. A home's reference is the set of shingles that most of a few of its members hold.
 2. Every member is sent once, to its home's reference, and from then on it is what it lacks of the reference and what it has besides.
    Two such differences give the exact similarity of their members.
@@ -27,12 +27,14 @@ from .common import discard, give_back, materialize, small_batches
 SAMPLED, SHARING, DIFFERENCES, ELEMENTS = 9, 4096, 2048, 1 << 20
 
 
-def homes(members: DataFrame, connected_components) -> DataFrame:
-    """node, home of the members (key, low, node) of buckets."""
+def homes(members: DataFrame) -> DataFrame:
+    """node, home of the members (key, low, node) of buckets. Four steps lead from any near copy of a text to the first one; who isn't led there is a stranger."""
     lows = members.groupBy("node", "low").agg(F.count(F.lit(1)).alias("n"))
-    first = materialize(lows.groupBy("node").agg(F.max_by("low", F.struct("n", -F.col("low"))).alias("low")), "homes-first")
-    chains = connected_components(first.select(F.col("node").alias("a"), F.col("low").alias("b")).where("a <> b"))
-    return materialize(first.join(chains, "node", "left").select("node", F.coalesce("component", "node").alias("home")), "homes")
+    now = materialize(lows.groupBy("node").agg(F.max_by("low", F.struct("n", -F.col("low"))).alias("home")), "homes-first")
+    for _ in range(2):
+        further = now.select(F.col("node").alias("home"), F.col("home").alias("further"))
+        now = now.join(further, "home").select("node", F.col("further").alias("home"))
+    return materialize(now, "homes")
 
 
 def _stream(df: DataFrame, columns: list[str], schema: str, start, take, end) -> DataFrame:
@@ -44,7 +46,7 @@ def _stream(df: DataFrame, columns: list[str], schema: str, start, take, end) ->
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches):
-        now, state, out = None, None, []
+        now, state, out, seen = None, None, [], 0
 
         def made():
             batch = pa.RecordBatch.from_arrays([pa.array(c, arrow.field(i).type) for i, c in enumerate(zip(*out))], schema=arrow)
@@ -52,7 +54,7 @@ def _stream(df: DataFrame, columns: list[str], schema: str, start, take, end) ->
             return batch
 
         for batch in batches:
-            values = [batch.column(c) for c in columns]
+            values, seen = [batch.column(c) for c in columns], seen + batch.num_rows
             for i in range(batch.num_rows):
                 row = [v[i].as_py() for v in values]
                 if state is None or row[0] != now:
@@ -66,7 +68,8 @@ def _stream(df: DataFrame, columns: list[str], schema: str, start, take, end) ->
             out.extend(end(state))
         if out:
             yield made()
-        give_back()
+        if seen > 256:
+            give_back()
 
     small_batches(df)
     return df.select(*columns).mapInArrow(run, schema)

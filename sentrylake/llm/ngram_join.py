@@ -231,7 +231,7 @@ def _verified(dealt: DataFrame) -> DataFrame:
     schema = pa.schema([("node", pa.int64()), ("neighbour", pa.int64()), ("links", pa.int64())])
 
     def run(batches):
-        unit, rows, out = None, [], []
+        unit, rows, out, seen = None, [], [], 0
 
         def done():
             if len(rows) > 1:
@@ -240,6 +240,7 @@ def _verified(dealt: DataFrame) -> DataFrame:
 
         for batch in batches:
             columns = [batch.column(c) for c in ("key", "band", "i", "j", "node", "side", "copies", "keys", "home", "text")]
+            seen += batch.num_rows
             for at in range(batch.num_rows):
                 v = [c[at].as_py() for c in columns]
                 if tuple(v[:4]) != unit:
@@ -254,7 +255,8 @@ def _verified(dealt: DataFrame) -> DataFrame:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], schema=schema)
         rows.clear()
-        give_back()
+        if seen > 256:
+            give_back()
 
     small_batches(dealt)
     return dealt.mapInArrow(run, "node long, neighbour long, links long")
@@ -320,7 +322,7 @@ def linked_classes(signed: DataFrame, texts: Column) -> DataFrame:
     texts = known.select("class_key", F.col("doc_id").alias("rep"), texts.alias("text"), slot).join(F.broadcast(wanted), "slot", "left_semi").drop("slot")
     found = []
     if not large.isEmpty():
-        placed = near_groups.homes(large, connected_components)
+        placed = near_groups.homes(large)
         of_node = classes.select("node", "class_key", "rep").join(placed.select("node"), "node", "left_semi").join(texts, ["class_key", "rep"]).select("node", "text")
         found = near_groups.inside(placed, of_node, classes.select("node", "copies"), units, shingle_set, THRESHOLD)
         strange = near_groups.across(large, placed, blocks_of).join(classes.select("node", "bands"), "node")

@@ -124,6 +124,42 @@ def test_a_large_group_makes_rows_in_proportion(spark):
     assert got == brute(rows)
 
 
+def test_texts_of_a_large_group_are_sent_a_few_times_and_no_link_is_lost(spark, monkeypatch):
+    """A group of more than BLOCKS blocks, with pairs that bounds settle, pairs in doubt, a second group that shares half, and strangers to buckets."""
+    r = random.Random(11)
+    base, other = text_of(r, 90), text_of(r, 90)
+    mixed = " ".join(base.split()[:45] + other.split()[:45])
+    texts = [changed(r, base, r.choice([1, 1, 1, 2, 3, 6])) for _ in range(420)] + [changed(r, mixed, r.randint(0, 3)) for _ in range(60)] + [changed(r, other, 2) for _ in range(40)]
+    rows = list(enumerate(texts + texts[:30]))
+    r.shuffle(rows)
+    sent, doubtful, plain, near = [], [], ngram_join._verified, ngram_join.near_groups._verified
+    for name, value in {"BLOCK": 64, "BLOCKS": 2}.items():
+        monkeypatch.setattr(ngram_join, name, value)
+    monkeypatch.setattr(ngram_join, "_verified", lambda dealt: sent.append(dealt.count()) or plain(dealt))
+    monkeypatch.setattr(ngram_join.near_groups, "DIFFERENCES", 150)
+    monkeypatch.setattr(ngram_join.near_groups, "SHARING", 50)
+    monkeypatch.setattr(ngram_join.near_groups, "_verified", lambda dealt, t: doubtful.append(dealt.count()) or near(dealt, t))
+    got, wanted = found(ngram_join.near_copies(spark.createDataFrame(rows, "doc_id long, text string"))), brute(rows)
+    lost = sum(n - got[d][1] for d, (_, n) in wanted.items())
+    assert all(got[d][1] <= n for d, (_, n) in wanted.items()) and lost <= 0.002 * sum(n for _, n in wanted.values())
+    assert {d: c for d, (c, _) in got.items()} == {d: c for d, (c, _) in wanted.items()}
+    assert sum(sent) <= 30 * len(texts) and 0 < doubtful[0] <= 5 * len(texts)
+
+
+def test_bounds_never_settle_a_pair_wrongly():
+    r = np.random.RandomState(1)
+    for _ in range(2000):
+        n = r.randint(1, 40)
+        lacks, has = ([set(r.choice(60, r.randint(0, m + 1), replace=False)) for _ in range(2)] for m in (n, 12))
+        lacks = [{x for x in y if x < n} for y in lacks]
+        a, b = (set(range(n)) - x | {100 + y for y in z} for x, z in zip(lacks, has))
+        if not a | b:
+            continue
+        similar = len(a & b) >= 0.8 * len(a | b) - 1e-9
+        sure, may = ngram_join.near_groups._bounds(n, len(lacks[0]), len(has[0]), len(lacks[1]), len(has[1]), 0.8)
+        assert (not sure or similar) and (may or not similar)
+
+
 def test_components(spark):
     r = random.Random(3)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(160)] + [(i, i + 1) for i in range(400, 460)] + [(500, i) for i in range(501, 560)]
