@@ -21,7 +21,8 @@ UNNUMBERED_CWES = {"NVD-CWE-noinfo": -1, "NVD-CWE-Other": -2}
 
 def date_key(moment: Column) -> Column:
     """yyyymmdd as a whole number; null for null."""
-    return F.date_format(F.to_date(moment), "yyyyMMdd").cast("int")
+    day = F.to_date(moment)
+    return F.year(day) * 10000 + F.month(day) * 100 + F.day(day)
 
 
 def severity_key(label: Column, score: Column) -> Column:

@@ -401,7 +401,10 @@ def incremental_equals_full(spark, sf_dir):
 
 
 # Constraints.
-@query("SELECT * FROM (VALUES ('dim_cve', 0::BIGINT), ('dim_cwe', 0), ('dim_vendor_product', 0), ('fact_cve', 0), ('fact_cve_cwe', 0), ('fact_cve_product', 0)) AS t(table_name, violations)", prelude=False)
+@query("""SELECT t AS table_name, count(*) FILTER (WHERE bad) AS violations FROM (
+  SELECT 'dim_cve' AS t, cve_id IS NULL OR count(*) > 1 AS bad FROM cve GROUP BY cve_id UNION ALL SELECT 'dim_cwe', cwe_key IS NULL OR count(*) > 1 FROM (SELECT DISTINCT cwe_key, cwe_id FROM cwe) GROUP BY cwe_key
+  UNION ALL SELECT 'dim_vendor_product', fv IS NULL OR fp IS NULL OR count(*) > 1 FROM (SELECT fv, fp, min(part) FROM prod WHERE vulnerable GROUP BY 1, 2) GROUP BY fv, fp UNION ALL SELECT 'fact_cve', cve_id IS NULL OR count(*) > 1 FROM fact GROUP BY cve_id
+  UNION ALL SELECT 'fact_cve_cwe', cve_id IS NULL OR cwe_key IS NULL OR count(*) > 1 FROM bc GROUP BY cve_id, cwe_key UNION ALL SELECT 'fact_cve_product', cve_id IS NULL OR vendor IS NULL OR product IS NULL OR count(*) > 1 FROM bp GROUP BY cve_id, vendor, product) GROUP BY t""")
 def pk_check(spark, sf_dir):
     c, k, p, w = cves(spark, sf_dir), kev(spark, sf_dir), products(spark, sf_dir), weaknesses(spark, sf_dir)
     a = star.shared_attributes(c, k)
@@ -409,7 +412,11 @@ def pk_check(spark, sf_dir):
     return reduce(DataFrame.unionAll, [model.key_violations(f, model.TABLES[n].keys).agg(F.count(F.lit(1)).alias("violations")).select(F.lit(n).alias("table_name"), "violations") for n, f in made.items()])
 
 
-@query("SELECT * FROM (VALUES ('fact_cve', 'cve_id', 0::BIGINT), ('fact_cve', 'published_date_key', 0), ('fact_cve', 'severity_key', 0), ('fact_cve_cwe', 'cwe_key', 0), ('fact_cve_product', 'cve_id', 0)) AS t(table_name, column_name, orphans)", prelude=False)
+@query("""SELECT t AS table_name, c AS column_name, count(*) FILTER (WHERE bad) AS orphans FROM (
+  SELECT 'fact_cve' AS t, 'cve_id' AS c, cve_id NOT IN (SELECT cve_id FROM cve) AS bad FROM fact
+  UNION ALL SELECT 'fact_cve', 'published_date_key', published_key NOT IN (SELECT strftime(d, '%Y%m%d')::INT FROM range(DATE '1988-01-01', DATE '2031-01-01', INTERVAL 1 DAY) AS x(d)) FROM fact WHERE published_key IS NOT NULL
+  UNION ALL SELECT 'fact_cve', 'severity_key', severity_key NOT BETWEEN 1 AND 6 FROM fact
+  UNION ALL SELECT 'fact_cve_cwe', 'cwe_key', cwe_key NOT IN (SELECT cwe_key FROM cwe) FROM bc UNION ALL SELECT 'fact_cve_product', 'cve_id', cve_id NOT IN (SELECT cve_id FROM cve) FROM bp) GROUP BY ALL""")
 def fk_check(spark, sf_dir):
     c, k, p, w = cves(spark, sf_dir), kev(spark, sf_dir), products(spark, sf_dir), weaknesses(spark, sf_dir)
     a, d = star.shared_attributes(c, k), star.dim_cve(c, k, RUN, LOADED)

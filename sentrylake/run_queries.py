@@ -6,7 +6,6 @@ They register themselves beside those of ``queries``.
 from __future__ import annotations
 
 from datetime import UTC, datetime, timedelta
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -150,8 +149,7 @@ def landed_batches(spark, sf_dir):
     for load, source, manifest in (("FULL", "1", None), ("INCREMENTAL", "2", {"window_start": "1990-01-01", "window_end": "2000-01-01"}), ("EMPTY", "3", {"records": 0, **span}), ("BACKFILL", "1", span)):
         path = f"{folder}/{source}"
         if manifest is not None:
-            Path(path.removeprefix("file:")).mkdir(exist_ok=True)
-            landing.write_manifest(path, batch_id=f"b-{load}", **manifest)
+            landing.write_manifest(path, spark, batch_id=f"b-{load}", **manifest)
         got = w.load_cves(BronzeRun(load if load != "EMPTY" else "INCREMENTAL", path if manifest is not None else f"{path}/page_*.json"))
         gap = got["gap"].total_seconds() / 3600 if got["gap"] else None
         rows.append((load, got["rows"], _text(w.mark("nvd")), gap))
