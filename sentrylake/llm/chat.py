@@ -42,8 +42,9 @@ def expand_replies(turns: DataFrame, conv: str = "conv_id", turn: str = "turn",
     The formatted example is the four strings in a row; only ``reply`` (escaped) is trainable, and it
     is null on the row that carries the turns behind the last reply. Null roles and texts count as
     empty; a null turn number sorts first; equal turn numbers are taken in order of role and text;
-    rows with a null conversation id form one conversation. Other columns are dropped. No rows in, no
-    rows out.
+    rows with a null conversation id form one conversation. Texts are formatted whole, whatever their length; every example repeats the turns
+    before it, and a conversation (that of the null ids too) is one row while it is formatted, so its turns together must fit into a task's memory. Other columns are dropped,
+    whatever their names. No rows in, no rows out.
     """
     one = F.struct(F.col(turn).alias("turn"), F.coalesce(F.col(role), F.lit("")).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     whole = turns.groupBy(F.col(conv)).agg(F.array_sort(F.collect_list(one)).alias("turns"))

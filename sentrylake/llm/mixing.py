@@ -64,7 +64,7 @@ def mix_sources(rows: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: fl
 
     Returns doc_id, source, size, source_size, target and ``copies`` (0 to max_repeat). Null sizes count
     as 0, a null source is a source of its own, null ids are ordered like any other; a source without
-    words has target 0 and none is taken. Repeated rows are taken each for itself. No rows in, no rows out.
+    words has target 0 and none is taken. Repeated rows are taken each for itself. Texts aren't looked at, only sizes, however large. No rows in, no rows out; other columns are dropped, whatever their names.
     """
     at = _spot(seed)
     sized = rows = materialize(rows.select("doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), at.alias("at")), "mix-sizes")

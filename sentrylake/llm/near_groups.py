@@ -1,7 +1,7 @@
 """Links inside very large groups of near copies, without every text meeting every other.
 
-1. A class's home is the class that most of its buckets have as their smallest one, followed on: near copies of one text share a
-   home, what met by chance does not. A home's reference is the set of shingles that most of a few of its members hold.
+1. A class's home is the smallest class with which it shares CLOSE buckets or more as their smallest one, followed on: near copies of one text
+   share a home, what met by chance does not. A home's reference is the set of shingles that most of a few of its members hold.
 2. Every member is sent once, to its home's reference, and from then on it is what it lacks of the reference and what it has besides.
    Two such differences give the exact similarity of their members.
 3. How much two members lack and have besides bounds their similarity from both sides. Members with equal numbers are one row, and
@@ -25,12 +25,14 @@ from .common import discard, give_back, materialize, small_batches
 
 #: Members that a reference is made of; members that share a copy of it; members and elements of a block of differences.
 SAMPLED, SHARING, DIFFERENCES, ELEMENTS = 9, 4096, 2048, 1 << 20
+#: Buckets that classes of one home share, as a rule.
+CLOSE = 3
 
 
 def homes(members: DataFrame) -> DataFrame:
     """node, home of the members (key, low, node) of buckets. Four steps lead from any near copy of a text to the first one; who isn't led there is a stranger."""
     lows = members.groupBy("node", "low").agg(F.count(F.lit(1)).alias("n"))
-    now = materialize(lows.groupBy("node").agg(F.max_by("low", F.struct("n", -F.col("low"))).alias("home")), "homes-first")
+    now = materialize(lows.groupBy("node").agg(F.coalesce(F.min(F.when(F.col("n") >= CLOSE, F.col("low"))), F.max_by("low", F.struct("n", -F.col("low")))).alias("home")), "homes-first")
     for _ in range(2):
         further = now.select(F.col("node").alias("home"), F.col("home").alias("further"))
         now = now.join(further, "home").select("node", F.col("further").alias("home"))

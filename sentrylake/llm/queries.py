@@ -72,6 +72,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per row of documents. Null texts are empty and stored as 64 zero bytes, null ids stay, texts of any length are stored whole, repeated rows and equal texts give equal values, an
+    empty table gives no rows; only doc_id and text are read, so other columns may have any name."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
 
     def make():
@@ -121,6 +123,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per row of documents. Null and empty texts have no words and no labels, null ids stay, texts of any length are scanned whole, repeated rows give equal rows, an empty table gives none;
+    only doc_id and text are read, so other columns may have any name."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
 
     def make():
