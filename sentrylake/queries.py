@@ -164,7 +164,8 @@ def kev_capture(spark, sf_dir):
 def page_explode(spark, sf_dir):
     """Records through a page envelope: rendered as pages, read by the envelope's schema, unnested."""
     feed = synthetic.cve_feed(spark, sf_dir, children=False)
-    pages = feed.groupBy(F.pmod(F.xxhash64("raw_json"), F.lit(64)).alias("page")).agg(F.concat(F.lit('{"resultsPerPage":2000,"vulnerabilities":['), F.array_join(F.transform(F.collect_list("raw_json"), lambda t: F.concat(F.lit('{"cve":'), t, F.lit("}"))), ","), F.lit("]}")).alias("text"))
+    n_pages = 1 + table(spark, sf_dir, "orders").count() // 1000  # a page holds about as much at any size
+    pages = feed.groupBy(F.pmod(F.xxhash64("raw_json"), F.lit(n_pages)).alias("page")).agg(F.concat(F.lit('{"resultsPerPage":2000,"vulnerabilities":['), F.array_join(F.transform(F.collect_list("raw_json"), lambda t: F.concat(F.lit('{"cve":'), t, F.lit("}"))), ","), F.lit("]}")).alias("text"))
     read = pages.select(F.from_json("text", feeds.CVE_PAGE).alias("p")).select("p.*")
     rows = feeds.cve_texts(read).select(F.get_json_object("raw_json", "$.id").alias("id"))
     return rows.agg(F.count(F.lit(1)).alias("records"), F.count_distinct("id").alias("ids"))

@@ -129,8 +129,8 @@ def resolved_windows(spark, sf_dir):
 def current_marks(spark, sf_dir):
     """The mark of each source in a history of marks, read as a run reads it."""
     history = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.col("ts").cast("timestamp").alias("watermark_ts"))
-    known = [r[0] for r in history.select("source").distinct().collect()]  # a handful of sources
-    return _values(spark, [(s, _text(watermark.current(history, s))) for s in [*known, "none"]], "source string, mark string")
+    none = spark.range(1).select(F.lit("none").alias("source"), F.lit(None).cast("timestamp").alias("watermark_ts"))
+    return watermark.all_current(history.unionByName(none)).select("source", F.date_format("watermark_ts", "yyyy-MM-dd HH:mm:ss").alias("mark"))
 
 
 @query("""SELECT 'FULL' AS load, count(*) FILTER (WHERE v = 1) AS rows, NULL AS mark, NULL AS gap_hours FROM r WHERE modified IS NOT NULL

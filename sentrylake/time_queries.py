@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from . import queries as Q
 from .functions import keys as K
 from .functions.versions import version_key
-from .operators import history, ranges, shape, star
+from .operators import history, ranges, shape, star, variants
 from .plans import analytics
 from .plans.maintained import CountedState, difference
 from .plans.scratch import scratch_folder, stored
@@ -243,3 +243,13 @@ def sketched_overlaps(spark, sf_dir):
     per = known.groupBy(month, "client_id").agg(F.max(F.col("kind") == "purchase").alias("p"), F.max(F.col("kind") == "error").alias("e"))
     exact = per.groupBy("month").agg(F.count_if("p").alias("buyers"), F.count_if(F.col("p") & F.col("e")).alias("troubled"))
     return exact.join(merged, F.col("month") == F.col("m")).select("month", "buyers", "troubled", (F.abs(F.col("near") - F.col("troubled")) <= 4 * F.col("all") / 64 + 1).alias("within"))
+
+
+# Records by way of VARIANT.
+@query(Q.ORACLE_SQL["silver_cve"], prelude=False)
+def silver_cve_variant(spark, sf_dir):
+    """The same rows as silver_cve, from texts that are parsed once."""
+    shaped = variants.shaped_cves(variants.parsed(bronze(spark, sf_dir, children=False)), LOADED)
+    valid, _ = shape.quality.split(shaped, shape.quality.cve_rules(), "bronze_nvd_raw")
+    rows = shape.latest(valid, "cve_id", shape.CVE_ORDER)
+    return rows.select("cve_id", shown("published_at"), shown("last_modified_at"), "vuln_status", "description_en", "cvss_v3_score", "cvss_v3_severity", "cvss_vector", "has_source_identifier")

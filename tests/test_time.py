@@ -221,3 +221,27 @@ def test_frames_are_ranges_of_days(spark):
     rows = spark.createDataFrame([("a", day(0)), ("a", day(0)), ("a", day(29)), ("a", day(30)), ("b", day(5)), ("a", None)], "k string, d date")
     found = analytics.moving(analytics.daily(rows, ["k"], "d"), ["k"], "d")
     assert sorted(map(tuple, found.collect())) == [("a", day(0), 2, 2, 2, 2, None), ("a", day(29), 1, 3, 3, 3, 29), ("a", day(30), 1, 2, 4, 4, 1), ("b", day(5), 1, 1, 1, 1, None)]
+
+
+# Variants.
+def test_variants_find_drift_at_any_depth_and_survive_broken_fields(spark):
+    import datetime as dt
+
+    from sentrylake.operators import variants
+
+    texts = [
+        '{"id": "a", "published": "2024-01-01T00:00:00.000", "vulnStatus": 7, "descriptions": [{"lang": "en", "value": "x", "tone": 1}], "references": [{"anything": 1}]}',
+        '{"id": "b", "published": [1], "metrics": {"cvssMetricV31": [{"type": "Primary", "cvssData": {"baseScore": "7.5", "vectorString": "V", "scope": "C"}, "extra": {"deep": 1}}]}, "newKey": {"deeper": 2}, "odd, <`key>": {"x": 1.5}}',
+        '{"id": "c", "metrics": {"cvssMetricV30": [{"cvssData": {"baseScore": 9.1, "baseSeverity": "critical"}}], "cvssMetricV40": []}}', "broken", None,
+    ]
+    rows = spark.createDataFrame([(t, "h", "b") for t in texts], "raw_json string, payload_sha256 string, batch_id string").withColumn("cve_id", F.get_json_object("raw_json", "$.id"))
+    parsed = variants.parsed(rows)
+    assert variants.drift(parsed) == ["descriptions.tone", "metrics.cvssMetricV31.cvssData.scope", "metrics.cvssMetricV31.extra", "metrics.cvssMetricV40", "newKey", "odd, <`key>"]
+    assert variants.drift(parsed.limit(0)) == []
+    odd = rows.limit(1).withColumn("raw_json", F.lit('{"id": "d", "descriptions": "none", "metrics": [1], "published": "2024-01-01T00:00:00"}')).withColumn("cve_id", F.lit("d"))
+    broken = variants.shaped_cves(variants.parsed(odd), dt.datetime(2024, 1, 1, tzinfo=dt.UTC)).first()
+    assert (broken["description_en"], broken["cvss_v3_score"], str(broken["published_at"])) == (None, None, "2024-01-01 00:00:00")
+    got = {r["cve_id"]: r for r in variants.shaped_cves(parsed, dt.datetime(2024, 1, 1, tzinfo=dt.UTC)).collect() if r["cve_id"]}
+    assert (got["a"]["vuln_status"], got["a"]["description_en"], got["a"]["cvss_v3_score"]) == ("7", "x", None)
+    assert (got["b"]["published_at"], got["b"]["cvss_v3_score"], got["b"]["description_en"]) == (None, 7.5, None)
+    assert (got["c"]["cvss_v3_score"], got["c"]["cvss_v3_severity"]) == (9.1, "CRITICAL")
