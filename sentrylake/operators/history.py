@@ -13,11 +13,15 @@ from pyspark.sql import functions as F
 from .ranges import _PART, cut
 
 
-def points(changes: DataFrame, keys: list[str], at: str, values: list[str], order: list[str] = []) -> DataFrame:  # noqa: B006
-    """keys, at, values: one row per key and moment, of several rows the greatest by ``order`` (nulls first). Null keys and times take no part."""
+def points(changes: DataFrame, keys: list[str], at: str, values: list[str], order: list[str] = [], ordered: bool = False) -> DataFrame:  # noqa: B006
+    """keys, at, values: one row per key and moment, of several rows the greatest by ``order`` (nulls first). Null keys and times take no part.
+
+    ``ordered``: with the columns of ``order`` behind them, as ``with_late`` needs where what comes late may be older.
+    """
     known = changes.dropna(subset=[*keys, at])
-    last = F.max_by(F.struct(*values), F.struct(*[F.col(c) for c in order], F.lit(0)))
-    return known.groupBy(*keys, at).agg(last.alias("_state")).select(*keys, at, *[F.col("_state")[c].alias(c) for c in values])
+    shown = [*values, *(c for c in order if c not in values)] if ordered else values
+    last = F.max_by(F.struct(*shown), F.struct(*[F.col(c) for c in order], F.lit(0)))
+    return known.groupBy(*keys, at).agg(last.alias("_state")).select(*keys, at, *[F.col("_state")[c].alias(c) for c in shown])
 
 
 def _carried(line: DataFrame, keys: list[str], what, name: str, forward: bool) -> DataFrame:
@@ -48,11 +52,15 @@ def intervals(states: DataFrame, keys: list[str], at: str, values: list[str], go
     return ended.select(*keys, *values, F.col(at).alias("valid_from"), "valid_to", F.col("valid_to").isNull().alias("is_current"))
 
 
-def with_late(known: DataFrame, late: DataFrame, keys: list[str], at: str) -> tuple[DataFrame, DataFrame]:
-    """(points once the ``late`` ones are among them, those of the keys that they touch): a late point replaces one of its key and moment.
+def with_late(known: DataFrame, late: DataFrame, keys: list[str], at: str, order: list[str] = []) -> tuple[DataFrame, DataFrame]:  # noqa: B006
+    """(points once the ``late`` ones are among them, those of the keys that they touch): a late point replaces one of its key and moment, unless that is greater by ``order``.
 
-    Whatever order points arrive in, the points are the same, and so are the intervals; only keys that were touched need be made anew.
+    Whatever order points arrive in, the points are the same, and so are the intervals; only keys that were touched need be made anew. That takes
+    ``order``, of points made with it and ``ordered``: without it what comes last wins.
     """
-    kept = known.join(late.select(*keys, at), [*keys, at], "left_anti")
-    every = kept.unionByName(late)
+    if order:
+        both = known.withColumn("_late", F.lit(0)).unionByName(late.withColumn("_late", F.lit(1)))
+        every = points(both, keys, at, [c for c in known.columns if c not in (*keys, at)], [*order, "_late"])
+    else:
+        every = known.join(late.select(*keys, at), [*keys, at], "left_anti").unionByName(late)
     return every, every.join(late.select(*keys).distinct(), keys, "left_semi")

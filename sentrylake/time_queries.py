@@ -95,11 +95,11 @@ s AS (SELECT *, lead(valid_at) OVER (PARTITION BY client_id ORDER BY valid_at) A
 SELECT client_id, segment, city, strftime(valid_at, '%Y-%m-%d %H:%M:%S') AS valid_from, strftime(valid_to, '%Y-%m-%d %H:%M:%S') AS valid_to, valid_to IS NULL AS is_current FROM s WHERE NOT gone"""
 
 
-def client_points(changes):
-    """What each change says of its client; one that goes has neither segment nor city."""
+def client_points(changes, ordered=False):
+    """What each change says of its client; one that goes has neither segment nor city. ``ordered``: with the columns that settle which of one moment counts."""
     gone = F.coalesce(F.col("op") == "D", F.lit(False))
     said = changes.select("client_id", "valid_at", "seq", "change_id", gone.alias("gone"), *[F.when(~gone, F.col(c)).alias(c) for c in ("segment", "city")])
-    return history.points(said, ["client_id"], "valid_at", ["gone", "segment", "city"], ["seq", "change_id"])
+    return history.points(said, ["client_id"], "valid_at", ["gone", "segment", "city"], ["seq", "change_id"], ordered)
 
 
 def _shown_history(found):
@@ -117,10 +117,10 @@ def client_history_late(spark, sf_dir):
     """A third of the changes comes after all others: it splits what was closed. Intervals of clients that it doesn't touch stay as they were."""
     changes = table(spark, sf_dir, "client_changes")
     nth = F.coalesce(F.col("seq"), F.lit(0)) % 3
-    now, late = (client_points(changes.where(c)) for c in (nth != 1, nth == 1))
+    now, late = (client_points(changes.where(c), ordered=True) for c in (nth != 1, nth == 1))
     key, states = ["client_id"], ["gone", "segment", "city"]
     first = history.intervals(now, key, "valid_at", states, F.col("gone"))
-    _, touched = history.with_late(now, late, key, "valid_at")
+    _, touched = history.with_late(now, late, key, "valid_at", ["seq", "change_id"])
     again = history.intervals(touched, key, "valid_at", states, F.col("gone"))
     return _shown_history(first.join(touched.select("client_id").distinct(), key, "left_anti").unionByName(again))
 
