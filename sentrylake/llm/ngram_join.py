@@ -314,6 +314,7 @@ def linked_classes(signed: DataFrame, texts: Column) -> DataFrame:
     classes = numbered_classes(known)
     met = materialize(buckets(classes.where(F.col("bands").isNotNull())), "buckets")
     whole, large = gathered(met, classes)
+    large = materialize(large, "large-buckets")
     columns = ["key", "band", "i", "j", "side", "node", "home"]
     small = units(whole).withColumns({"band": F.lit(-1), "home": F.lit(-1).cast("long")}).select(*columns)
     # Most texts are in no group; a table of hashes that can't outgrow FILTER rows keeps them out of the exchange.
@@ -325,15 +326,18 @@ def linked_classes(signed: DataFrame, texts: Column) -> DataFrame:
         placed = near_groups.homes(large)
         of_node = classes.select("node", "class_key", "rep").join(placed.select("node"), "node", "left_semi").join(texts, ["class_key", "rep"]).select("node", "text")
         found = near_groups.inside(placed, of_node, classes.select("node", "copies"), units, shingle_set, THRESHOLD)
-        strange = near_groups.across(large, placed, blocks_of).join(classes.select("node", "bands"), "node")
-        small = small.unionByName(strange.withColumn("band", (F.array_position("bands", F.col("key")) - 1).cast("int")).select(*columns))
+        strange = near_groups.across(large, placed, blocks_of)
+        small = small.unionByName(strange.withColumn("band", F.lit(None).cast("int")).select(*columns))
+    # The band of a bucket is where its key stands among the class's bands; a class brings those once, in the join that it needs anyway.
+    dealt = small.join(classes.select("node", "class_key", "rep", "copies", "bands"), "node").withColumn("band", F.coalesce("band", (F.array_position("bands", F.col("key")) - 1).cast("int")))
     keys = F.when(F.col("band") < 0, F.col("bands")).otherwise(F.slice("bands", F.lit(1), F.greatest("band", F.lit(0))))
-    dealt = small.join(classes.select("node", "class_key", "rep", "copies", "bands"), "node").withColumn("keys", keys).drop("bands")
+    dealt = dealt.withColumn("keys", keys).drop("bands")
     dealt = dealt.join(texts, ["class_key", "rep"]).drop("class_key", "rep").repartition("key", "band", "i", "j").sortWithinPartitions("key", "band", "i", "j", "node")
     verified = materialize(_verified(dealt), "links")
     for more in found:
         verified = verified.unionByName(more)
     discard(met)
+    discard(large)
 
     linked = verified.groupBy("node").agg(F.sum("links").alias("links"))
     groups = connected_components(verified.select(F.col("node").alias("a"), F.col("neighbour").alias("b")).where("a <> b"))
