@@ -139,7 +139,7 @@ def record_history(spark, sf_dir):
 @query("""SELECT strftime(published, '%Y-%m') AS month, count(*) AS cves, min(score) AS least_score, max(score) AS greatest_score, count(DISTINCT severity_key) AS severities FROM cve GROUP BY 1""")
 def maintained_months(spark, sf_dir):
     """Months of publication, made of the first sending and brought up to date by the second in two rounds: only records that are sent again are read for them."""
-    records = shape.parsed(bronze(spark, sf_dir, children=False))
+    records = Q.parsed_records(spark, sf_dir, children=False)
     first, second = (records.where(F.col("batch_id") == b) for b in (synthetic.FIRST, synthetic.SECOND))
     columns = ["month", "severity_key", "score"]
 
@@ -165,7 +165,8 @@ def maintained_months(spark, sf_dir):
   GROUP BY GROUPING SETS ((year(published)::INT, severity_key, vendor), (year(published)::INT, severity_key), (year(published)::INT, vendor), (vendor), (year(published)::INT), ())""")
 def report_levels(spark, sf_dir):
     """Records by year, severity and vendor with subtotals; a record of several vendors counts once in each total."""
-    b = Q.bridge_products(spark, sf_dir).join(star.dim_vendor_product(Q.products(spark, sf_dir), Q.RUN, LOADED), "vendor_product_key")
+    t = Q.silver(spark, sf_dir, "cves", "kev", "products")
+    b = Q.bridge_products(t).join(star.dim_vendor_product(t["products"], Q.RUN, LOADED), "vendor_product_key")
     rows = b.select(F.floor(F.col("published_date_key") / 10000).cast("int").alias("year"), "severity_key", "vendor", "cve_id")
     levels = [["year", "severity_key", "vendor"], ["year", "severity_key"], ["year", "vendor"], ["vendor"], ["year"], []]
     return analytics.distinct_by_levels(rows, ["year", "severity_key", "vendor"], levels, "cve_id")
@@ -176,7 +177,8 @@ def report_levels(spark, sf_dir):
   FROM (SELECT bp.vendor, f.published AS day, count(*) AS n, (f.published - DATE '1970-01-01')::INT AS d FROM bp JOIN fact AS f ON bp.cve_id = f.cve_id GROUP BY ALL) WINDOW w AS (PARTITION BY vendor ORDER BY d)""")
 def report_moving(spark, sf_dir):
     """How many products of each vendor were named in the last 30 and 90 days, day by day."""
-    b = Q.bridge_products(spark, sf_dir).join(star.dim_vendor_product(Q.products(spark, sf_dir), Q.RUN, LOADED), "vendor_product_key")
+    t = Q.silver(spark, sf_dir, "cves", "kev", "products")
+    b = Q.bridge_products(t).join(star.dim_vendor_product(t["products"], Q.RUN, LOADED), "vendor_product_key")
     rows = b.select("vendor", F.to_date(F.col("published_date_key").cast("string"), "yyyyMMdd").alias("day"))
     return analytics.moving(analytics.daily(rows, ["vendor"], "day"), ["vendor"], "day").withColumn("day", F.col("day").cast("string"))
 
