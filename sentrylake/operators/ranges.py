@@ -1,7 +1,7 @@
 """Sweeps over lines that are cut into ranges: what one range needs of those before it is carried over, whatever the keys' sizes.
 
 ``as_of`` gives rows the last known state of their key at their time. ``holding`` finds which points lie in which intervals of
-their key. Both lay two sides in one line, sorted by key and place and dealt over range partitions, so that a key with very many rows lies in
+their key, ``counted`` how many of whose. The first two lay two sides in one line, sorted by key and place and dealt over range partitions, so that a key with very many rows lies in
 many of them. Only keys that reach over an edge carry anything, and each edge has one such key.
 """
 
@@ -81,3 +81,24 @@ def holding(points: DataFrame, intervals: DataFrame, keys: list[str], point: str
     below = (F.col(point) < F.col(high)) | ((F.col(point) == F.col(high)) & ~F.col(high_open))
     back = [F.nullif(F.col(low), F.lit(_LEAST)).alias(low), low_open, F.nullif(F.col(high), F.lit(_GREATEST)).alias(high), high_open]
     return held.where(above & below).select(*keys, point, *back)
+
+
+def counted(points: DataFrame, intervals: DataFrame, keys: list[str], owner: str, point: str, low: str, high: str, low_open: str, high_open: str, spread: int = 8) -> DataFrame:
+    """owner, keys, the columns of ``points``, rows and intervals: of each owner and point, how many of the owner's interval rows hold it, and how many distinct ones.
+
+    Bounds are as in ``holding``; ``points`` has each point once. What is found is far more than what is given, so it is made where it stays: both sides are dealt by keys
+    and a share of the owners (``points`` ``spread`` times), and no hit moves again. Nearly all owners have one interval of a key and need no counting.
+    """
+    edges, deal = [low, low_open, high, high_open], [*keys, "_share"]
+    known = intervals.dropna(subset=keys).select(owner, *keys, F.coalesce(low, F.lit(_LEAST)).alias(low), F.coalesce(low_open, F.lit(False)).alias(low_open), F.coalesce(high, F.lit(_GREATEST)).alias(high), F.coalesce(high_open, F.lit(False)).alias(high_open))
+    dealt = known.withColumn("_share", F.pmod(F.xxhash64(owner), F.lit(spread)).cast("int")).repartition(*deal)
+    owned = dealt.groupBy(*deal, owner).agg(F.collect_list(F.struct(*edges)).alias("_held"))
+    wanted = points.dropna(subset=[*keys, point]).withColumn("_share", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    above = (F.col(point) > F.col(low)) | ((F.col(point) == F.col(low)) & ~F.col(low_open))
+    below = (F.col(point) < F.col(high)) | ((F.col(point) == F.col(high)) & ~F.col(high_open))
+    one = owned.where(F.size("_held") == 1).select(*deal, owner, *[F.col("_held")[0][c].alias(c) for c in edges]).join(wanted, deal).where(above & below)
+    many = owned.where(F.size("_held") > 1).select(*deal, owner, F.inline("_held")).join(wanted, deal).where(above & below)
+    rest = [c for c in points.columns if c not in keys]
+    several = many.groupBy(*deal, owner, *rest).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(F.struct(*edges)).alias("intervals"))
+    out = [owner, *keys, *rest, "rows", "intervals"]
+    return one.withColumns({"rows": F.lit(1).cast("long"), "intervals": F.lit(1).cast("long")}).select(*out).unionByName(several.select(*out))

@@ -53,12 +53,8 @@ SELECT cve_id, fv AS vendor, fp AS product, vkey AS version_key, sum(n)::BIGINT
 def vulnerable_assets(spark, sf_dir):
     """Which installed versions lie in the version ranges of which records' criteria."""
     owned = assets(spark, sf_dir).withColumn("version_key", version_key(F.col("version"))).groupBy("vendor", "product", "version_key").agg(F.count(F.lit(1)).alias("n"))
-    criteria, bounds = bounded_criteria(spark, sf_dir), ["low", "low_open", "high", "high_open"]
-    held = ranges.holding(owned, criteria, ["vendor", "product"], "version_key", "low", "high", "low_open", "high_open")
-    on = [held[c].eqNullSafe(criteria[c]) for c in ("vendor", "product", *bounds)]
-    hits = held.join(criteria, on).select("cve_id", held["vendor"], held["product"], "version_key", *[held[c] for c in bounds])
-    hits = hits.join(owned, ["vendor", "product", "version_key"])
-    return hits.groupBy("cve_id", "vendor", "product", "version_key").agg(F.sum("n").alias("assets"), F.count_distinct(F.struct(*bounds)).alias("criteria"))
+    found = ranges.counted(owned, bounded_criteria(spark, sf_dir), ["vendor", "product"], "cve_id", "version_key", "low", "high", "low_open", "high_open")
+    return found.select("cve_id", "vendor", "product", "version_key", (F.col("n") * F.col("rows")).alias("assets"), F.col("intervals").alias("criteria"))
 
 
 @query(f"""SELECT l_orderkey, l_linenumber, {_KEY.format("(CASE l_partkey % 5 WHEN 0 THEN '*' WHEN 1 THEN '1.' || l_suppkey || '.0' WHEN 2 THEN '0' || l_linenumber || '.00' || l_suppkey || 'RC1' WHEN 3 THEN 'v' || l_suppkey || '-beta.' || l_linenumber ELSE l_linenumber || '.' || l_partkey END)")} AS version_key FROM lineitem""", prelude=False)
