@@ -44,12 +44,15 @@ def run(spark: SparkSession, warehouse: Warehouse, loaded: datetime) -> dict:
     """
     for name, copy in COPIES.items():
         warehouse.store.copy(name, copy)
+    bronze = warehouse.table("bronze_nvd_raw")
     scored = warehouse.table("silver_cve").where("cvss_v3_score is not null").select("cve_id")
-    record = warehouse.table("bronze_nvd_raw").join(scored, "cve_id", "left_semi").orderBy("cve_id", "batch_id").limit(1)
-    forms = altered(record.select(*warehouse.table("bronze_nvd_raw").columns))
-    records = shape.parsed(forms)
-    valid, rejected = shape.silver_cves(records, loaded)
-    done = warehouse.store.upsert(valid, COPIES["silver_cve"], U.newer)
-    done["quarantined"] = warehouse.store.insert_new(rejected, COPIES["silver_quarantine"])
-    done["unknown_keys"] = list(shape.drift(shape.shaped_cves(records, loaded)).first()[0] or [])
+    # Only names travel to find the record; its text is fetched where it lies, once for all forms.
+    first = bronze.select("cve_id", "batch_id").join(scored, "cve_id", "left_semi").orderBy("cve_id", "batch_id").limit(1).collect()
+    found = bronze.where((F.col("cve_id") == first[0]["cve_id"]) & (F.col("batch_id") == first[0]["batch_id"])) if first else bronze
+    with warehouse.store.staging() as staged:
+        records = shape.parsed(staged(altered(staged(found.limit(1 if first else 0)))))
+        valid, rejected = shape.silver_cves(records, loaded)
+        done = warehouse.store.upsert(valid, COPIES["silver_cve"], U.newer)
+        done["quarantined"] = warehouse.store.insert_new(rejected, COPIES["silver_quarantine"])
+        done["unknown_keys"] = list(shape.drift(shape.shaped_cves(records, loaded)).first()[0] or [])
     return done
